@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("sources", "projections", "joins", "aggregates")
+MODULES = ("sources", "projections", "joins", "aggregates", "dimensions")
 
 
 def load_all() -> None:
