@@ -56,7 +56,7 @@ def baseline(train: DataFrame, trained: Trained) -> dict:
     """Mean of each number and most frequent value of each category; one row to the driver."""
     inputs = trained.inputs
     row = train.agg(*[F.avg(c).alias(c) for c in inputs.numeric],
-                    *[F.mode(c).alias(c) for c in inputs.categorical]).first()
+                    *[F.mode(c, deterministic=True).alias(c) for c in inputs.categorical]).first()
     return row.asDict()
 
 

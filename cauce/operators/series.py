@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cauce.functions.dates import is_us_holiday
 from cauce.operators.aggregates import coverage_pct, error_metrics
+from cauce.sources.scratch import materialise
 
 WEEK = 7
 
@@ -82,40 +83,43 @@ def _windows(df: DataFrame, day: str, origins: Sequence[Origin]) -> DataFrame:
 
 
 def _clip_spikes(df: DataFrame, group: list[str], value: str, limit: float = 3.0) -> DataFrame:
-    centre = df.groupBy(*group).agg(F.median(value).alias("_med"))
-    with_centre = df.join(centre, group)
-    spread = with_centre.groupBy(*group).agg(
-        (limit * 1.4826 * F.median(F.abs(F.col(value) - F.col("_med")))).alias("_tol"))
+    """Bring values back to within ``limit`` scaled median deviations of the median."""
+    whole = Window.partitionBy(*group)
+    centred = df.withColumn("_med", F.median(value).over(whole))
+    bounded = centred.withColumn(
+        "_tol", limit * 1.4826 * F.median(F.abs(F.col(value) - F.col("_med"))).over(whole))
     clipped = F.greatest(F.col("_med") - F.col("_tol"), F.least(F.col("_med") + F.col("_tol"), F.col(value)))
-    return with_centre.join(spread, group).withColumn(
+    return bounded.withColumn(
         value, F.when(F.col("_tol") > 0, clipped).otherwise(F.col(value))).drop("_med", "_tol")
 
 
 def _remove_holidays(df: DataFrame, group: list[str], day: str, value: str) -> DataFrame:
     """Take the mean holiday deviation from the weekday mean out of the holidays; keep it as ``_holiday``."""
-    df = df.withColumn("_is_holiday", is_us_holiday(F.col(day)))
-    ordinary = df.where(~F.col("_is_holiday")).groupBy(*group, F.dayofweek(day).alias("_dow")).agg(
-        F.avg(value).alias("_usual"))
-    effect = (
-        df.where("_is_holiday").withColumn("_dow", F.dayofweek(day)).join(ordinary, [*group, "_dow"])
-        .groupBy(*group).agg(F.avg(F.col(value) - F.col("_usual")).alias("_holiday"))
-    )
-    joined = df.join(effect, group, "left").withColumn("_holiday", F.coalesce("_holiday", F.lit(0.0)))
-    return joined.withColumn(
+    marked = df.withColumns({"_is_holiday": is_us_holiday(F.col(day)), "_dow": F.dayofweek(day)})
+    same_weekday = Window.partitionBy(*group, "_dow")
+    usual = marked.withColumn(
+        "_usual", F.avg(F.when(~F.col("_is_holiday"), F.col(value))).over(same_weekday))
+    deviation = F.when(F.col("_is_holiday"), F.col(value) - F.col("_usual"))
+    effect = usual.withColumn(
+        "_holiday", F.coalesce(F.avg(deviation).over(Window.partitionBy(*group)), F.lit(0.0)))
+    return effect.withColumn(
         value, F.when(F.col("_is_holiday"), F.col(value) - F.col("_holiday")).otherwise(F.col(value))
-    ).drop("_is_holiday")
+    ).drop("_is_holiday", "_dow", "_usual")
 
 
 def training_sets(df: DataFrame, keys: Sequence[str], day: str, value: str,
                   origins: Sequence[Origin]) -> DataFrame:
-    """Adjusted series with weekly differences ``_z`` and their previous value ``_z1``, per window."""
+    """Adjusted series with weekly differences ``_z`` and their previous value ``_z1``, per window.
+
+    Written once, since the fit, the projection and the anomalies all read it.
+    """
     group = [*keys, "ventana"]
     filled = fill_days(df, keys, day, value).drop("was_missing")
     adjusted = _remove_holidays(
         _clip_spikes(_windows(filled, day, origins), group, value), group, day, value)
     order = Window.partitionBy(*group).orderBy(day)
     diffed = adjusted.withColumn("_z", F.col(value) - F.lag(value, WEEK).over(order))
-    return diffed.withColumn("_z1", F.lag("_z").over(order))
+    return materialise(diffed.withColumn("_z1", F.lag("_z").over(order)), "training")
 
 
 def fit_series(training: DataFrame, keys: Sequence[str], day: str, value: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("sources", "projections", "joins", "aggregates", "dimensions")
+MODULES = ("sources", "projections", "joins", "aggregates", "dimensions", "learning", "forecasting")
 
 
 def load_all() -> None:

@@ -294,7 +294,7 @@ def _customer_select(dialect: str, source: str) -> str:
         day = "(DATE '2020-01-01' + CAST(c_custkey % 1000 AS INTEGER))"
         parts = {"text": "VARCHAR", "dmy": f"strftime({day}, '%d/%m/%Y')", "ymd": f"strftime({day}, '%Y-%m-%d')"}
     once_ = f"SELECT {_CUSTOMER_COLUMNS.format(category=_CATEGORY, **parts)} FROM {source}"
-    return f"{once_} UNION ALL {once_} WHERE c_custkey % 50 = 0"
+    return f"{once_} UNION ALL {once_} WHERE c_acctbal > 9000"
 
 
 def raw_customers(spark: SparkSession, sf: str) -> DataFrame:

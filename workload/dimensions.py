@@ -64,18 +64,18 @@ _ATTRIBUTES = ("c_mktsegment", "c_nationkey")
 
 
 def customer_history(spark, sf):
-    """A first load without every eleventh customer, then a batch with all of them, some moved."""
+    """A first load without one market segment, then a batch with all of them, another segment moved."""
     def load():
         people = table(spark, sf, "customer").select("c_custkey", *_ATTRIBUTES)
-        first = merge_history(None, people.where("c_custkey % 11 <> 0"), "c_custkey", _ATTRIBUTES, data.LOAD_TS)
-        moved = people.withColumn("c_nationkey", F.when(F.col("c_custkey") % 7 == 0, None).otherwise(F.col("c_nationkey")))
+        first = merge_history(None, people.where("c_mktsegment <> 'MACHINERY'"), "c_custkey", _ATTRIBUTES, data.LOAD_TS)
+        moved = people.withColumn("c_nationkey", F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_nationkey")))
         return merge_history(materialise(first.dimension), moved, "c_custkey", _ATTRIBUTES, data.NEXT_TS)
     return once(spark, sf, "history", load)
 
 
 HISTORY_SQL = """v1 AS (SELECT row_number() OVER (ORDER BY c_custkey) AS pasajero_key, c_custkey, c_mktsegment, c_nationkey
-      FROM customer WHERE c_custkey % 11 <> 0),
-    batch AS (SELECT c_custkey, c_mktsegment, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_nationkey END AS c_nationkey FROM customer),
+      FROM customer WHERE c_mktsegment <> 'MACHINERY'),
+    batch AS (SELECT c_custkey, c_mktsegment, CASE WHEN c_mktsegment <> 'BUILDING' THEN c_nationkey END AS c_nationkey FROM customer),
     opened AS (SELECT b.*, CASE WHEN v.c_custkey IS NULL THEN 1 ELSE 2 END AS version FROM batch b LEFT JOIN v1 v USING (c_custkey)
       WHERE v.c_custkey IS NULL OR b.c_nationkey IS DISTINCT FROM v.c_nationkey),
     dim AS (SELECT v.pasajero_key, v.c_custkey, v.c_mktsegment, v.c_nationkey, 1 AS version,

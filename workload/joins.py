@@ -116,12 +116,12 @@ def c09(spark, sf):
         "last_order": orders.agg(F.max("o_orderdate"))})
 
 
-@query("c10_change_detection", """SELECT c_custkey, CASE WHEN c_custkey % 11 = 0 THEN 'insert'
+@query("c10_change_detection", """SELECT c_custkey, CASE WHEN c_mktsegment = 'MACHINERY' THEN 'insert'
     WHEN c_custkey % 7 = 0 OR c_custkey % 5 = 0 THEN 'change' ELSE 'keep' END AS action FROM customer""")
 def c10(spark, sf):
     now = table(spark, sf, "customer").select("c_custkey", "c_mktsegment",
                                               F.when(F.col("c_custkey") % 5 != 0, F.col("c_acctbal")).alias("balance"))
-    known = table(spark, sf, "customer").where("c_custkey % 11 <> 0").select(
+    known = table(spark, sf, "customer").where("c_mktsegment <> 'MACHINERY'").select(
         F.col("c_custkey").alias("k"),
         F.when(F.col("c_custkey") % 7 == 0, "OTHER").otherwise(F.col("c_mktsegment")).alias("old_segment"),
         F.col("c_acctbal").alias("old_balance"))

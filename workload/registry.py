@@ -24,5 +24,6 @@ def query(name: str, sql: str | None = None):
 
 
 def rnd(expression: str, digits: int) -> str:
-    """Oracle rounding on the decimal rendering, halves away from zero."""
-    return f"CAST(round(CAST({expression} AS DECIMAL(38,10)), {digits}) AS DOUBLE)"
+    """Oracle rounding of a double on its decimal rendering, halves away from zero."""
+    text = f"CAST(CAST({expression} AS DOUBLE) AS VARCHAR)"
+    return f"CAST(round(CAST({text} AS DECIMAL(38,17)), {digits}) AS DOUBLE)"
