@@ -18,6 +18,11 @@ def rounded_sum(column: str | Column, digits: int) -> Column:
     return F.round(F.sum(column), digits)
 
 
+def decimal_mean(column: Column, kind: str, digits: int = 2) -> Column:
+    """Mean of exact numbers as a decimal, rounded once (a decimal ``avg`` would round twice)."""
+    return F.round(F.sum(column).cast("double") / F.count(column), digits).cast(kind)
+
+
 def rate_pct(condition: Column, digits: int = 2) -> Column:
     """Percentage of all rows for which the condition is true."""
     return F.round(100 * F.count_if(condition) / F.count(F.lit(1)), digits)

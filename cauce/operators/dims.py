@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
 from cauce.functions.casts import safe_int
 from cauce.functions.dates import date_key, day_name_es, iso_weekday, month_name_es
-from cauce.operators.order import number_rows
+from cauce.operators.order import number_rows, running_total
 from cauce.operators.rows import keep_first, stacked_distinct
+from cauce.sources.scratch import materialise
 
 
 def _add_new(rows: DataFrame, key: str, surrogate: str, existing: DataFrame | None) -> DataFrame:
@@ -31,6 +33,46 @@ def build_simple_dim(values: DataFrame, column: str, surrogate: str,
     return _add_new(found, business, surrogate, existing)
 
 
+@dataclass(frozen=True)
+class ValueDim:
+    """A dimension of the distinct values of one or more columns of the same meaning."""
+
+    columns: tuple[str, ...]
+    business: str
+    surrogate: str
+
+
+def build_value_dims(df: DataFrame, specs: Mapping[str, ValueDim],
+                     existing: Mapping[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """Many value dimensions from a single scan of the source.
+
+    All values are stacked as (dimension, value), made distinct, and those not yet known are
+    numbered per dimension in sorted order, after the highest known key.
+    """
+    known = {name: dim for name, dim in (existing or {}).items() if name in specs}
+    cells = [F.struct(F.lit(name).alias("_dim"), F.col(c).cast("string").alias("_value"))
+             for name, spec in specs.items() for c in spec.columns]
+    values = df.select(F.explode(F.array(*cells)).alias("_c")).select("_c.*").where(
+        F.col("_value").isNotNull()).distinct()
+    for name, dim in known.items():
+        seen = dim.select(F.lit(name).alias("_dim"), F.col(specs[name].business).cast("string").alias("_value"))
+        values = values.join(seen, ["_dim", "_value"], "left_anti")
+    numbered = materialise(running_total(values.withColumn("_one", F.lit(1).cast("long")), ["_value"],
+                                         "_one", "_number", ["_dim"]), "dimensions")
+    built = {}
+    for name, spec in specs.items():
+        columns = [spec.surrogate, spec.business]
+        kind = df.schema[spec.columns[0]].dataType
+        new = numbered.where(F.col("_dim") == name).select(
+            F.col("_number").alias(spec.surrogate), F.col("_value").cast(kind).alias(spec.business))
+        if name in known:
+            top = known[name].agg(F.coalesce(F.max(spec.surrogate), F.lit(0))).scalar()
+            shifted = new.withColumn(spec.surrogate, F.col(spec.surrogate) + top)
+            new = known[name].select(columns).unionByName(shifted)
+        built[name] = new
+    return built
+
+
 def build_pair_dim(df: DataFrame, code: str, name: str, surrogate: str,
                    existing: DataFrame | None = None, order: Sequence[str] = ()) -> DataFrame:
     """Code and name, one row per code; ``order`` says which row's name counts."""

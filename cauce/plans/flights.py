@@ -6,18 +6,20 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from cauce.functions.casts import parse_decimal, safe_int
 from cauce.functions.dates import date_key, parse_mixed_timestamp
 from cauce.functions.maps import canonical_name, map_or_keep, map_value
 from cauce.functions.text import normalize_code, title_case
 from cauce.operators import dims
-from cauce.operators.history import HistoryMerge, merge_history
+from cauce.operators.aggregates import decimal_mean, share_of_total
+from cauce.operators.history import HistoryMerge, current_versions, merge_history
 from cauce.operators.joins import KeyLookup, resolve_keys
-from cauce.operators.aggregates import share_of_total
+from cauce.operators.order import number_rows
 from cauce.operators.quantiles import exact_median
 from cauce.operators.rows import default_where, keep_first, null_where
+from cauce.sources.scratch import materialise
 
 # Airline codes and official names.
 AIRLINES = {
@@ -55,7 +57,11 @@ def impute_age(df: DataFrame, column: str = "passenger_age") -> DataFrame:
 
 
 def transform_flights(raw: DataFrame, order: Sequence[str] = (), genders: Mapping[str, str] = GENDERS) -> DataFrame:
-    """One row per record with normal codes, names, genders, times, prices and filled attributes."""
+    """One row per record with normal codes, names, genders, times, prices and filled attributes.
+
+    The tidy rows are written once; the median is taken from that table's age column and filled in
+    as it is read back.
+    """
     first = keep_first(raw, ["record_id"], order)
     airline = normalize_code(F.col("airline_code"))
     numbers = {c: F.col(c).try_cast("double") for c in ("passenger_age", "duration_min", "delay_min")}
@@ -74,7 +80,7 @@ def transform_flights(raw: DataFrame, order: Sequence[str] = (), genders: Mappin
         **{c: parse_mixed_timestamp(F.col(c)) for c in TIMES},
         **numbers,
     })
-    return impute_age(tidy)
+    return impute_age(materialise(tidy, "flights"))
 
 
 def transform_flights_variant(raw: DataFrame) -> DataFrame:
@@ -95,21 +101,30 @@ def transform_flights_variant(raw: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class FlightStar:
-    """Dimensions by name, the fact, and what the batch did to the passenger history."""
+    """Dimensions by name, the fact, and what the batch did to the passenger history, if one is kept."""
 
     dims: dict[str, DataFrame]
     fact: DataFrame
-    passengers: HistoryMerge
+    passengers: HistoryMerge | None = None
 
 
-# Simple dimensions as (name, source column, business column, surrogate).
-SIMPLE_DIMS = (
-    ("dim_aeronave", "aircraft_type", "aircraft_type", "aeronave_key"),
-    ("dim_clase_cabina", "cabin_class", "cabin_class", "clase_key"),
-    ("dim_canal_venta", "sales_channel", "sales_channel", "canal_key"),
-    ("dim_metodo_pago", "payment_method", "payment_method", "metodo_pago_key"),
-    ("dim_estado_vuelo", "status", "status", "estado_key"),
-)
+# Source columns, business column and surrogate of the value dimensions.
+VALUE_DIMS = {
+    "dim_aeropuerto": dims.ValueDim(("origin_airport", "destination_airport"), "codigo_iata", "aeropuerto_key"),
+    "dim_aeronave": dims.ValueDim(("aircraft_type",), "aircraft_type", "aeronave_key"),
+    "dim_clase_cabina": dims.ValueDim(("cabin_class",), "cabin_class", "clase_key"),
+    "dim_canal_venta": dims.ValueDim(("sales_channel",), "sales_channel", "canal_key"),
+    "dim_metodo_pago": dims.ValueDim(("payment_method",), "payment_method", "metodo_pago_key"),
+    "dim_estado_vuelo": dims.ValueDim(("status",), "status", "estado_key"),
+}
+# The same for the second star.
+VARIANT_DIMS = {
+    "Dim_Aeropuerto": dims.ValueDim(("origin_airport", "destination_airport"), "Airport_Code", "Aeropuerto_SK"),
+    "Dim_Estado_Vuelo": dims.ValueDim(("status",), "Status_Name", "Estado_Vuelo_SK"),
+    "Dim_Canal_Venta": dims.ValueDim(("sales_channel",), "Channel_Name", "Canal_Venta_SK"),
+    "Dim_Metodo_Pago": dims.ValueDim(("payment_method",), "Payment_Name", "Metodo_Pago_SK"),
+    "Dim_Vuelo": dims.ValueDim(("flight_number",), "Flight_Number", "Vuelo_SK"),
+}
 
 
 def _passengers(flights: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -120,23 +135,22 @@ def _passengers(flights: DataFrame, order: Sequence[str]) -> DataFrame:
 
 def build_fact(flights: DataFrame, star: Mapping[str, DataFrame], on_missing: str = "error") -> DataFrame:
     """One row per flight record: ten keys, three times, five measures; cancelled NULLs stay."""
-    def simple(dim: str, column: str, surrogate: str) -> KeyLookup:
-        return KeyLookup(column, star[dim], column, surrogate, surrogate)
-
     airports = star["dim_aeropuerto"]
-    passengers = star["dim_pasajero"].where(F.col("es_actual"))
+    single = {name: spec for name, spec in VALUE_DIMS.items() if name != "dim_aeropuerto"}
     keyed = resolve_keys(flights, [
-        simple("dim_aerolinea", "airline_code", "aerolinea_key"),
+        KeyLookup("airline_code", star["dim_aerolinea"], "airline_code", "aerolinea_key", "aerolinea_key"),
         KeyLookup("origin_airport", airports, "codigo_iata", "aeropuerto_key", "origen_key"),
         KeyLookup("destination_airport", airports, "codigo_iata", "aeropuerto_key", "destino_key"),
-        *[simple(dim, column, surrogate) for dim, column, _, surrogate in SIMPLE_DIMS],
-        simple_passenger(passengers),
+        *[KeyLookup(spec.columns[0], star[name], spec.business, spec.surrogate, spec.surrogate)
+          for name, spec in single.items()],
+        KeyLookup("passenger_id", current_versions(star["dim_pasajero"]), "passenger_id", "pasajero_key",
+                  "pasajero_key"),
     ], on_missing)
     return keyed.select(
         F.col("record_id").cast("long").alias("record_id"), "flight_number",
         date_key(F.col("departure_datetime")).alias("fecha_salida_key"),
         "aerolinea_key", "origen_key", "destino_key",
-        *[surrogate for _, _, _, surrogate in SIMPLE_DIMS], "pasajero_key",
+        *[spec.surrogate for spec in single.values()], "pasajero_key",
         F.col("departure_datetime").alias("fecha_hora_salida"),
         F.col("arrival_datetime").alias("fecha_hora_llegada"),
         F.col("booking_datetime").alias("fecha_hora_reserva"),
@@ -145,21 +159,15 @@ def build_fact(flights: DataFrame, star: Mapping[str, DataFrame], on_missing: st
         "ticket_price_usd", "bags_total", "bags_checked")
 
 
-def simple_passenger(passengers: DataFrame) -> KeyLookup:
-    return KeyLookup("passenger_id", passengers, "passenger_id", "pasajero_key", "pasajero_key")
-
-
 def load_star(flights: DataFrame, load_ts: datetime, existing: Mapping[str, DataFrame] | None = None,
               order: Sequence[str] = (), on_missing: str = "error") -> FlightStar:
-    """All dimensions grown by the batch, and the batch's fact rows."""
+    """All dimensions grown by the batch, and the batch's fact rows.
+
+    Every dimension and the fact read ``flights``: hand in a written table, such as
+    ``transform_flights`` gives.
+    """
     known = existing or {}
-    star = {
-        name: dims.build_simple_dim(flights, column, surrogate, known.get(name), business)
-        for name, column, business, surrogate in SIMPLE_DIMS
-    }
-    star["dim_aeropuerto"] = dims.build_role_dim(
-        flights, ["origin_airport", "destination_airport"], "codigo_iata", "aeropuerto_key",
-        known.get("dim_aeropuerto"))
+    star = dims.build_value_dims(flights, VALUE_DIMS, known)
     star["dim_aerolinea"] = dims.build_pair_dim(
         flights, "airline_code", "airline_name", "aerolinea_key", known.get("dim_aerolinea"), order)
     star["dim_fecha"] = dims.build_calendar(flights, "departure_datetime", known.get("dim_fecha"))
@@ -195,29 +203,21 @@ def build_fact_variant(flights: DataFrame, star: Mapping[str, DataFrame]) -> Dat
 
 def load_star_variant(flights: DataFrame, order: Sequence[str] = ()) -> FlightStar:
     """The second star: plain first-row dimensions, observed days only."""
-    def simple(column: str, business: str, surrogate: str) -> DataFrame:
-        return dims.build_simple_dim(flights, column, surrogate, business=business)
-
+    batch = materialise(flights, "flights")
     passengers = keep_first(
-        flights.select(F.col("passenger_id").alias("Passenger_ID"),
-                       F.col("passenger_gender").alias("Gender"), F.col("passenger_age").alias("Age"),
-                       F.col("passenger_nationality").alias("Nationality"), *order),
+        batch.select(F.col("passenger_id").alias("Passenger_ID"),
+                     F.col("passenger_gender").alias("Gender"), F.col("passenger_age").alias("Age"),
+                     F.col("passenger_nationality").alias("Nationality"), *order),
         ["Passenger_ID"], order).drop(*order)
+    airlines = dims.build_pair_dim(batch, "airline_code", "airline_name", "Aerolinea_SK", order=order)
     star = {
-        "Dim_Aerolinea": dims.build_pair_dim(flights, "airline_code", "airline_name", "Aerolinea_SK",
-                                             order=order).withColumnsRenamed(
+        **dims.build_value_dims(batch, VARIANT_DIMS),
+        "Dim_Aerolinea": airlines.withColumnsRenamed(
             {"airline_code": "Airline_Code", "airline_name": "Airline_Name"}),
-        "Dim_Aeropuerto": dims.build_role_dim(flights, ["origin_airport", "destination_airport"],
-                                              "Airport_Code", "Aeropuerto_SK"),
-        "Dim_Tiempo": dims.build_observed_dates(flights, ["departure_datetime", "arrival_datetime"]),
-        "Dim_Pasajero": dims.number_rows(passengers, ["Passenger_ID"], "Pasajero_SK"),
-        "Dim_Estado_Vuelo": simple("status", "Status_Name", "Estado_Vuelo_SK"),
-        "Dim_Canal_Venta": simple("sales_channel", "Channel_Name", "Canal_Venta_SK"),
-        "Dim_Metodo_Pago": simple("payment_method", "Payment_Name", "Metodo_Pago_SK"),
-        "Dim_Vuelo": simple("flight_number", "Flight_Number", "Vuelo_SK"),
+        "Dim_Tiempo": dims.build_observed_dates(batch, ["departure_datetime", "arrival_datetime"]),
+        "Dim_Pasajero": number_rows(passengers, ["Passenger_ID"], "Pasajero_SK"),
     }
-    unchanged = HistoryMerge(star["Dim_Pasajero"], passengers.agg(F.count(F.lit(1)).alias("inserted")))
-    return FlightStar(star, build_fact_variant(flights, star), unchanged)
+    return FlightStar(star, build_fact_variant(batch, star))
 
 
 def _star(fact: DataFrame, dim: DataFrame, key: str, fact_key: str | None = None) -> DataFrame:
@@ -261,17 +261,13 @@ def delayed_by_airline(fact: DataFrame, airlines: DataFrame, statuses: DataFrame
     ).orderBy(F.desc("vuelos_retrasados"), "airline_name").limit(top)
 
 
-def _money(column: Column, kind: str) -> Column:
-    return F.round(column, 2).cast(kind)
-
-
 def revenue_by_class(fact: DataFrame, classes: DataFrame) -> DataFrame:
     named = _star(fact, classes.select("clase_key", "cabin_class"), "clase_key")
     price = F.col("ticket_price_usd").cast("decimal(12,2)")
     return named.groupBy("cabin_class").agg(
         F.count(F.lit(1)).alias("total_boletos"),
         F.sum(price).cast("decimal(12,2)").alias("ingreso_total_usd"),
-        _money(F.avg(price), "decimal(10,2)").alias("ticket_promedio_usd"),
+        decimal_mean(price, "decimal(10,2)").alias("ticket_promedio_usd"),
     ).orderBy(F.desc("ingreso_total_usd"), "cabin_class")
 
 
@@ -280,7 +276,7 @@ def monthly_trend(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     price = F.col("ticket_price_usd").cast("decimal(12,2)")
     return _star(fact, days, "fecha_key", "fecha_salida_key").groupBy("anio", "mes", "nombre_mes").agg(
         F.count(F.lit(1)).alias("total_vuelos"),
-        _money(F.avg(price), "decimal(10,2)").alias("ticket_promedio_usd"),
+        decimal_mean(price, "decimal(10,2)").alias("ticket_promedio_usd"),
     ).orderBy("anio", "mes")
 
 
@@ -295,6 +291,6 @@ def channel_by_payment(fact: DataFrame, channels: DataFrame, methods: DataFrame)
 def baggage_by_airline(fact: DataFrame, airlines: DataFrame) -> DataFrame:
     named = _star(fact, airlines.select("aerolinea_key", "airline_name"), "aerolinea_key")
     return named.groupBy("airline_name").agg(
-        _money(F.avg("bags_total"), "decimal(5,2)").alias("maletas_promedio"),
-        _money(F.avg("bags_checked"), "decimal(5,2)").alias("maletas_facturadas_promedio"),
+        decimal_mean(F.col("bags_total"), "decimal(5,2)").alias("maletas_promedio"),
+        decimal_mean(F.col("bags_checked"), "decimal(5,2)").alias("maletas_facturadas_promedio"),
     ).orderBy(F.desc("maletas_promedio"), "airline_name")

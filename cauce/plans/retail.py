@@ -9,6 +9,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cauce.operators import quality
+from cauce.operators.aggregates import decimal_mean
 from cauce.operators.joins import count_orphans, lookup_label
 from cauce.sources.tables import load_idempotent
 
@@ -187,7 +188,7 @@ def sales_by_branch(fact: DataFrame, branches: DataFrame) -> DataFrame:
     return named.groupBy("nombre_sucursal", "departamento").agg(
         F.countDistinct("id_venta").alias("total_transacciones"),
         F.sum("monto_neto").alias("facturacion_total_neta"),
-        F.round(F.avg("monto_neto"), 2).cast("decimal(14,2)").alias("ticket_promedio_linea"),
+        decimal_mean(F.col("monto_neto"), "decimal(14,2)").alias("ticket_promedio_linea"),
     ).orderBy(F.desc("facturacion_total_neta"), "nombre_sucursal", "departamento")
 
 
