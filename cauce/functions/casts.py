@@ -14,6 +14,12 @@ def safe_int(text: Column, to: str = "int") -> Column:
     return F.round(text.try_cast("double")).try_cast(to)
 
 
+def code_between(text: Column, low: int, high: int) -> Column:
+    """``safe_int(text).between(low, high)`` for 0 < low, without the rounding."""
+    number = text.try_cast("double")
+    return (number >= low - 0.5) & (number < high + 0.5)
+
+
 def parse_decimal(text: Column) -> Column:
     """Number from text with a decimal comma or point."""
     return F.replace(text.cast("string"), F.lit(","), F.lit(".")).try_cast("double")

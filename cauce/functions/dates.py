@@ -38,7 +38,7 @@ def parse_mixed_date(text: Column) -> Column:
 
 def elapsed_minutes(start: Column, end: Column) -> Column:
     """Whole minutes between two timestamps (truncated, not boundary counts)."""
-    return F.timestamp_diff("MINUTE", start, end)
+    return (end - start).cast("interval minute").cast("bigint")
 
 
 def elapsed_millis(start: Column, end: Column) -> Column:

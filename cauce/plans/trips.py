@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cauce.functions.casts import safe_divide, safe_int
+from cauce.functions.casts import code_between, safe_divide, safe_int
 from cauce.functions.dates import elapsed_minutes
 from cauce.functions.maps import flag, label_codes
 from cauce.operators.aggregates import (coverage, distribution, rate_pct, rounded_avg, rounded_sum,
@@ -45,19 +45,18 @@ def _code(name: str) -> Column:
 
 
 def cleaning_rules(rules: TripRules = TripRules()) -> dict[str, Column]:
-    """What a usable trip must meet, by rule name."""
+    """What a usable trip must meet, by rule name; plain comparisons come first, text codes last."""
     col = F.col
-    both_zones = _code("pickup_location_id").between(*rules.zones) & _code(
-        "dropoff_location_id").between(*rules.zones)
-    both_codes = _code("rate_code").between(*rules.codes) & _code("payment_type").between(*rules.codes)
+    zones = [code_between(col(c), *rules.zones) for c in ("pickup_location_id", "dropoff_location_id")]
+    codes = [code_between(col(c), *rules.codes) for c in ("rate_code", "payment_type")]
     return {
-        "L1": (col("dropoff_datetime") > col("pickup_datetime")) & _minutes().between(*rules.minutes),
         "L2": col("trip_distance").between(*rules.miles),
         "L3": col("passenger_count").between(*rules.passengers),
         "L4": col("fare_amount").between(*rules.fare) & col("total_amount").between(*rules.total),
         "L5": (col("total_amount") >= col("fare_amount")) & (col("tip_amount") >= 0),
-        "L6": both_zones & both_codes,
         "L7": F.year("pickup_datetime").between(*rules.years),
+        "L1": (col("dropoff_datetime") > col("pickup_datetime")) & _minutes().between(*rules.minutes),
+        "L6": reduce(lambda a, b: a & b, [*codes, *zones]),
     }
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from cauce.operators.dims import build_zone_dim
 from cauce.operators.features import FeatureConfig
 from cauce.plans.trips import TripRules, clean_trips
+from cauce.sources.scratch import materialise
 
 _memo: dict[tuple, object] = {}
 
@@ -37,6 +38,16 @@ CONFIG = FeatureConfig(
 
 
 def raw_trips(spark: SparkSession, sf: str) -> DataFrame:
+    """The raw trip table, written once.
+
+    The supplied line items are one row group, which only one task can read, so the rows are
+    spread before the table is written.
+    """
+    return once(spark, sf, "raw-trips", lambda: materialise(
+        _derived_trips(spark, sf).repartition(spark.sparkContext.defaultParallelism), "raw-trips"))
+
+
+def _derived_trips(spark: SparkSession, sf: str) -> DataFrame:
     timed = table(spark, sf, "lineitem").withColumn("pickup_datetime", F.timestamp_add(
         "SECOND", (F.col("l_orderkey") * 37 + F.col("l_linenumber") * 1171) % 86400, F.col("l_shipdate")))
     seconds = F.col("l_quantity").cast("bigint") * 300 + F.col("l_partkey") % 97 * 7 - 400
