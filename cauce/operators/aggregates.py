@@ -134,9 +134,10 @@ def duplicate_profile(df: DataFrame, key: str) -> DataFrame:
 def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
     """Equal-width bins over the column's range, the last one closed; empty bins show 0."""
     v = F.col(value).cast("double")
-    edges = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi"))
-    lo, hi = edges.select("lo").scalar(), edges.select("hi").scalar()
-    bounded = df.where(v.isNotNull()).select(v.alias("v")).withColumns({"_lo": lo, "_hi": hi})
+    edges = df.agg(F.struct(F.min(v).alias("lo"), F.max(v).alias("hi"))).scalar()
+    lo, hi = edges["lo"], edges["hi"]
+    bounded = df.where(v.isNotNull()).select(v.alias("v"), edges.alias("_edges")).select(
+        "v", F.col("_edges.lo").alias("_lo"), F.col("_edges.hi").alias("_hi"))
     position = F.when(F.col("_hi") > F.col("_lo"),
                       F.width_bucket("v", "_lo", "_hi", F.lit(bins))).otherwise(F.lit(1))
     counts = bounded.groupBy(F.least(position, F.lit(bins)).cast("int").alias("bin")).agg(
@@ -179,14 +180,13 @@ def weekly_counts(df: DataFrame, day: str, out: str = "n") -> DataFrame:
 
 def coverage(df: DataFrame, ts: str) -> DataFrame:
     """First and last moment, days and months with rows, rows per day."""
-    per_day = df.where(F.col(ts).isNotNull()).groupBy(F.to_date(ts).alias("day")).agg(
+    per_day = df.groupBy(F.to_date(ts).alias("day")).agg(
         F.count(F.lit(1)).alias("n"), F.min(ts).alias("first"), F.max(ts).alias("last"))
-    total = df.agg(F.count(F.lit(1))).scalar()
     return per_day.agg(
         F.min("first").alias("first_ts"), F.max("last").alias("last_ts"),
-        F.count(F.lit(1)).alias("n_days"),
+        F.count("day").alias("n_days"),
         F.countDistinct(F.month("day")).alias("n_months"),
-        F.round(F.max(total) / F.count(F.lit(1)), 0).alias("rows_per_day"),
+        F.round(F.try_divide(F.sum("n"), F.count("day")), 0).alias("rows_per_day"),
     )
 
 

@@ -56,8 +56,10 @@ def number_rows(df: DataFrame, order: Sequence[str], out: str, start: int | Colu
 def rank_descending(df: DataFrame, value: str, out: str) -> DataFrame:
     """``RANK() OVER (ORDER BY value DESC)`` over rows of any number.
 
-    The order is worked out over the distinct values with their row counts, then joined back.
+    The rows are written once; the order is worked out over their distinct values with row
+    counts, then joined back.
     """
+    df = materialise(df, "unranked")
     distinct = (
         df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_asc", F.struct(F.col(value).isNull().cast("int").alias("nulls"),

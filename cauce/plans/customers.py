@@ -12,6 +12,7 @@ from cauce.functions.text import blank_to_null, normalize_code, normalize_name,
 from cauce.operators.aggregates import pivot_table
 from cauce.operators.quantiles import exact_median
 from cauce.operators.rows import distinct_rows
+from cauce.sources.scratch import materialise
 
 # Accepted codes and the words for a missing one.
 GENDERS = ("M", "F")
@@ -24,8 +25,9 @@ def impute_by_group(df: DataFrame, value: str, group: str) -> DataFrame:
     """NULL values become their group's median, then the median of what is filled by then.
 
     Rows without a group lose their value first, as a grouped transform in pandas does, and so
-    take the overall median.
+    take the overall median. The input is written once, as it is read three times.
     """
+    df = materialise(df, "unfilled")
     medians = exact_median(df, value, "_median", [group])
     grouped = df.join(medians, group, "left").withColumn(
         value, F.when(F.col(group).isNotNull(), F.coalesce(value, "_median"))).drop("_median")

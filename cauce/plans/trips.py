@@ -12,7 +12,7 @@ from cauce.functions.dates import elapsed_minutes
 from cauce.functions.maps import flag, label_codes
 from cauce.operators.aggregates import (coverage, distribution, rate_pct, rounded_avg, rounded_sum,
                                         share_of_total, weighted_mean)
-from cauce.operators.joins import one_row, role_play
+from cauce.operators.joins import attach_scalars, role_play
 from cauce.operators.order import rank_descending
 from cauce.operators.quality import rule_profile
 
@@ -149,8 +149,7 @@ def cast_integrity(trips: DataFrame) -> DataFrame:
     codes = {"rate_codes_distintos": "rate_code", "payment_types_distintos": "payment_type"}
     return trips.agg(
         *[F.count_if(F.col(c).isNull()).alias(out) for out, c in nulls.items()],
-        # a handful of codes: sets of them are small and need no second distinct shuffle
-        *[F.size(F.collect_set(c)).alias(out) for out, c in codes.items()],
+        *[F.countDistinct(c).alias(out) for out, c in codes.items()],
         F.min("pickup_date").alias("desde"), F.max("pickup_date").alias("hasta"))
 
 
@@ -207,19 +206,32 @@ def agg_hourly_profile(trips: DataFrame) -> DataFrame:
         rounded_avg("tip_ratio", 4).alias("tip_ratio_promedio"))
 
 
+PAIR_MEASURES = ("trip_distance", "fare_amount", "trip_duration_minutes", "tip_ratio")
+
+
+def zone_pairs(trips: DataFrame) -> DataFrame:
+    """Row count, sums and value counts per pair of zones: one scan that zones and routes share."""
+    parts = [f(c).alias(f"_{kind}_{c}") for c in PAIR_MEASURES for kind, f in (("sum", F.sum), ("cnt", F.count))]
+    return trips.groupBy("pickup_location_id", "dropoff_location_id").agg(F.count(F.lit(1)).alias("_n"), *parts)
+
+
+def _pair_mean(column: str, digits: int) -> Column:
+    return F.round(F.try_divide(F.sum(f"_sum_{column}"), F.sum(f"_cnt_{column}")), digits)
+
+
 def agg_zones(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Trips out of and into each zone, averages, and the rank by trips out.
 
     The rank is taken after the zone join, and the labels come from the catalogue: zones it
     lacks have NULL labels, ids it repeats appear once per entry.
     """
-    out_of = trips.groupBy(F.col("pickup_location_id").alias("_zone")).agg(
-        F.count(F.lit(1)).alias("viajes_origen"),
-        rounded_avg("fare_amount", 2).alias("fare_promedio"),
-        rounded_avg("trip_distance", 2).alias("distancia_promedio"),
-        rounded_avg("tip_ratio", 4).alias("tip_ratio_promedio"))
-    into = trips.groupBy(F.col("dropoff_location_id").alias("_zone")).agg(
-        F.count(F.lit(1)).alias("viajes_destino"))
+    pairs = zone_pairs(trips)
+    out_of = pairs.groupBy(F.col("pickup_location_id").alias("_zone")).agg(
+        F.sum("_n").alias("viajes_origen"),
+        _pair_mean("fare_amount", 2).alias("fare_promedio"),
+        _pair_mean("trip_distance", 2).alias("distancia_promedio"),
+        _pair_mean("tip_ratio", 4).alias("tip_ratio_promedio"))
+    into = pairs.groupBy(F.col("dropoff_location_id").alias("_zone")).agg(F.sum("_n").alias("viajes_destino"))
     totals = out_of.join(into, "_zone", "left")
     labelled = totals.join(zones, F.col("_zone") == F.col("location_id"), "left")
     return rank_descending(labelled, "viajes_origen", "rank_origen").select(
@@ -238,29 +250,17 @@ def agg_payment(trips: DataFrame) -> DataFrame:
 
 
 def agg_routes(trips: DataFrame, zones: DataFrame, n: int = 25) -> DataFrame:
-    """Most frequent zone-to-zone routes.
-
-    Sums are taken per id pair before the labels are joined, so the joins see pairs and not
-    trips; the label groups are then merged from those sums.
-    """
-    pairs = trips.groupBy("pickup_location_id", "dropoff_location_id").agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[f(c).alias(f"_{k}_{c}") for c in ("trip_distance", "fare_amount", "trip_duration_minutes")
-          for k, f in (("sum", F.sum), ("cnt", F.count))])
-    named = role_play(pairs, zones, "location_id", {
+    """Most frequent zone-to-zone routes; the label joins see zone pairs, not trips."""
+    named = role_play(zone_pairs(trips), zones, "location_id", {
         "pickup_location_id": {"zone": "zona_origen", "borough": "borough_origen"},
         "dropoff_location_id": {"zone": "zona_destino", "borough": "borough_destino"},
     })
     keys = ["zona_origen", "zona_destino", "borough_origen", "borough_destino"]
-
-    def average(column: str, out: str) -> Column:
-        return F.round(F.try_divide(F.sum(f"_sum_{column}"), F.sum(f"_cnt_{column}")), 2).alias(out)
-
     return named.groupBy(*keys).agg(
         F.sum("_n").alias("n_viajes"),
-        average("trip_distance", "distancia_promedio"),
-        average("fare_amount", "fare_promedio"),
-        average("trip_duration_minutes", "duracion_promedio"),
+        _pair_mean("trip_distance", 2).alias("distancia_promedio"),
+        _pair_mean("fare_amount", 2).alias("fare_promedio"),
+        _pair_mean("trip_duration_minutes", 2).alias("duracion_promedio"),
     ).orderBy(F.desc("n_viajes"), *keys).limit(n)
 
 
@@ -281,14 +281,12 @@ def kpi_row(daily: DataFrame, profile: DataFrame, zones: DataFrame) -> DataFrame
     """Headline figures of the dashboard: totals, busiest hour, busiest zone."""
     label = F.concat(F.col("pickup_hour").cast("string"), F.lit(":00 - "), F.col("nombre_dia"))
     busiest = F.max_by(label, F.struct("n_viajes", -F.col("pickup_dow"), -F.col("pickup_hour")))
-    totals = {
-        "total_viajes": F.sum("trip_count"),
-        "revenue_fare_usd": rounded_sum("revenue_fare", 2),
-        "revenue_tips_usd": rounded_sum("revenue_tips", 2),
-        "fare_promedio_usd": F.round(F.sum("revenue_fare") / F.sum("trip_count"), 2),
-    }
-    return one_row(daily.sparkSession, {
-        **{name: daily.agg(m) for name, m in totals.items()},
+    totals = daily.agg(
+        F.sum("trip_count").alias("total_viajes"),
+        rounded_sum("revenue_fare", 2).alias("revenue_fare_usd"),
+        rounded_sum("revenue_tips", 2).alias("revenue_tips_usd"),
+        F.round(F.sum("revenue_fare") / F.sum("trip_count"), 2).alias("fare_promedio_usd"))
+    return attach_scalars(totals, {
         "pico_demanda": profile.agg(busiest),
         "zona_top_origen": zones.where("rank_origen = 1").agg(F.min("zone")),
     })
