@@ -20,17 +20,26 @@ def check_unique(df: DataFrame, table: str, column: str) -> DataFrame:
     return repeated.agg(F.count(F.lit(1)).alias("_f")).select(*_line(table, "unique", column, F.col("_f")))
 
 
-def _spread(counts: DataFrame, table: str, check: str, names: Sequence[str]) -> DataFrame:
-    """One row of counters as one line per counter."""
-    return counts.unpivot([], list(names), "_column", "_f").select(
-        F.lit(table).alias("table_name"), F.lit(check).alias("check_name"),
-        F.col("_column").alias("column_name"), F.col("_f").cast("long").alias("failures"))
+def check_table(df: DataFrame, table: str, not_null: Sequence[str] = (),
+                rules: Mapping[str, Column] | None = None) -> DataFrame:
+    """NULLs of the given columns and rows that break each rule, all in one aggregate.
+
+    An unknown rule outcome is no failure.
+    """
+    broken = {("not_null", c): F.col(c).isNull() for c in not_null}
+    broken.update({("rule", name): condition for name, condition in (rules or {}).items()})
+    counts = df.agg(*[F.count_if(condition).alias(f"_{i}") for i, condition in enumerate(broken.values())])
+    lines = F.array(*[F.struct(*_line(table, check, column, F.col(f"_{i}")))
+                      for i, (check, column) in enumerate(broken)])
+    return counts.select(F.explode(lines).alias("_l")).select("_l.*")
 
 
 def check_not_null(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
-    """NULLs of all the columns in one aggregate."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    return _spread(counts, table, "not_null", columns)
+    return check_table(df, table, not_null=columns)
+
+
+def check_rules(df: DataFrame, table: str, rules: Mapping[str, Column]) -> DataFrame:
+    return check_table(df, table, rules=rules)
 
 
 def check_relationship(child: DataFrame, table: str, column: str, parent: DataFrame,
@@ -44,12 +53,6 @@ def check_relationship(child: DataFrame, table: str, column: str, parent: DataFr
         *_line(table, "relationship", column, F.col("_f")))
 
 
-def check_rules(df: DataFrame, table: str, rules: Mapping[str, Column]) -> DataFrame:
-    """Rows that break each rule, all rules in one aggregate; an unknown outcome is no failure."""
-    counts = df.agg(*[F.count_if(broken).alias(name) for name, broken in rules.items()])
-    return _spread(counts, table, "rule", list(rules))
-
-
 def any_negative(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c) < 0 for c in columns])
 

@@ -126,14 +126,15 @@ RELATIONS = (("id_cliente", "dim_clientes"), ("id_producto", "dim_productos"),
 
 
 def mart_checks(marts: Mapping[str, DataFrame]) -> list[DataFrame]:
-    checks = [quality.check_unique(marts[t], t, c) for t, columns in UNIQUE.items() for c in columns]
-    checks += [quality.check_not_null(marts[t], t, columns) for t, columns in NOT_NULL.items()]
-    checks += [quality.check_relationship(marts["fct_ventas"], "fct_ventas", key, marts[dim], key)
-               for key, dim in RELATIONS]
-    checks.append(quality.check_rules(marts["fct_ventas"], "fct_ventas", {
+    """Declared checks; NULLs and amount rules of a table share one scan."""
+    rules = {"fct_ventas": {
         "lineas_monto_negativo": quality.any_negative(["monto_bruto", "monto_neto", "monto_descuento"]),
         "lineas_inconsistencia_calculo": quality.off_balance("monto_bruto", "monto_descuento", "monto_neto"),
-    }))
+    }}
+    checks = [quality.check_table(marts[t], t, columns, rules.get(t)) for t, columns in NOT_NULL.items()]
+    checks += [quality.check_unique(marts[t], t, c) for t, columns in UNIQUE.items() for c in columns]
+    checks += [quality.check_relationship(marts["fct_ventas"], "fct_ventas", key, marts[dim], key)
+               for key, dim in RELATIONS]
     return checks
 
 

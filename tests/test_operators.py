@@ -248,3 +248,19 @@ def test_error_metrics_with_zero_actual(spark):
     df = spark.createDataFrame([(0.0, 1.0), (2.0, 3.0)], "a double, p double")
     got = df.agg(*agg.error_metrics("", F.col("a"), F.col("p"))).first()
     assert (got.rmse, got.mae, got.mape_pct) == (1.0, 1.0, 50.0)
+
+
+def test_one_scan_gives_null_and_rule_lines(spark):
+    df = spark.createDataFrame([(1, None), (None, -2.0), (3, 5.0)], "id int, amount double")
+    checks = quality.check_table(df, "t", ["id", "amount"], {"negative": F.col("amount") < 0})
+    assert [(r.check_name, r.column_name, r.failures) for r in checks.collect()] == [
+        ("not_null", "id", 1), ("not_null", "amount", 1), ("rule", "negative", 1)]
+    plan = checks._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1
+
+
+def test_sketched_percentiles_are_close_to_the_exact_ones(spark):
+    df, frame = skewed(spark)
+    got = df.agg(F.percentile_approx("v", [0.5, 0.9, 0.99], 10000).alias("p")).first().p
+    ranks = [(frame["v"] <= value).mean() for value in got]
+    assert all(abs(rank - p) < 2e-3 for rank, p in zip(ranks, (0.5, 0.9, 0.99)))

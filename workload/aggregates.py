@@ -136,14 +136,14 @@ def d10(spark, sf):
     return trip_plans.agg_routes(data.trips(spark, sf), data.zones(spark, sf))
 
 
-@query("d11_weighted_average", f"""WITH {data.TRIPS_SQL}, {PROFILE_SQL} SELECT pickup_hour, sum(n_viajes) AS viajes,
+@query("d11_weighted_average", f"""WITH {data.TRIPS_SQL}, {PROFILE_SQL} SELECT pickup_hour, CAST(sum(n_viajes) AS BIGINT) AS viajes,
     {rnd('sum(n_viajes * velocidad_mph) / sum(n_viajes)', 2)} AS velocidad_mph_ponderada FROM profile GROUP BY 1""")
 def d11(spark, sf):
     return trip_plans.hourly_speed(profile(spark, sf))
 
 
 @query("d12_kpi_row", f"""WITH {data.TRIPS_SQL}, {data.ZONES_SQL}, {DAILY_SQL}, {PROFILE_SQL}, {AGG_ZONES_SQL}
-    SELECT (SELECT sum(trip_count) FROM agg_daily) AS total_viajes,
+    SELECT (SELECT CAST(sum(trip_count) AS BIGINT) FROM agg_daily) AS total_viajes,
     (SELECT {rnd('sum(revenue_fare)', 2)} FROM agg_daily) AS revenue_fare_usd,
     (SELECT {rnd('sum(revenue_tips)', 2)} FROM agg_daily) AS revenue_tips_usd,
     (SELECT {rnd('sum(revenue_fare) / sum(trip_count)', 2)} FROM agg_daily) AS fare_promedio_usd,
@@ -154,7 +154,7 @@ def d12(spark, sf):
 
 
 @query("d13_monthly_mart", f"""WITH {data.TRIPS_SQL}, {DAILY_SQL} SELECT month(pickup_date) AS mes,
-    strftime(pickup_date, '%b') AS nombre_mes, sum(trip_count) AS viajes, {rnd('sum(revenue_fare)', 2)} AS revenue_fare,
+    strftime(pickup_date, '%b') AS nombre_mes, CAST(sum(trip_count) AS BIGINT) AS viajes, {rnd('sum(revenue_fare)', 2)} AS revenue_fare,
     {rnd('sum(revenue_tips)', 2)} AS revenue_tips, {rnd('sum(revenue_fare) / sum(trip_count)', 2)} AS fare_promedio
     FROM agg_daily GROUP BY 1, 2""")
 def d13(spark, sf):
