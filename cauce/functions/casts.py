@@ -27,3 +27,11 @@ def parse_decimal(text: Column) -> Column:
 
 def safe_divide(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator, F.nullif(denominator, F.lit(0)))
+
+
+def steady_round(value: Column, digits: int) -> Column:
+    """Rounding for sums and means of doubles, whose last bits depend on the order of the rows.
+
+    Six digits beyond the wanted ones are settled first, so the order cannot tip a half.
+    """
+    return F.round(F.round(value, digits + 6), digits)

@@ -7,15 +7,16 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from cauce.functions.casts import steady_round
 from cauce.operators.quantiles import exact_quantiles
 
 
 def rounded_avg(column: str | Column, digits: int) -> Column:
-    return F.round(F.avg(column), digits)
+    return steady_round(F.avg(column), digits)
 
 
 def rounded_sum(column: str | Column, digits: int) -> Column:
-    return F.round(F.sum(column), digits)
+    return steady_round(F.sum(column), digits)
 
 
 def decimal_mean(column: Column, kind: str, digits: int = 2) -> Column:
@@ -31,7 +32,7 @@ def rate_pct(condition: Column, digits: int = 2) -> Column:
 def share_of_total(df: DataFrame, value: str, out: str, digits: int = 2) -> DataFrame:
     """Percentage of the column total, the total being a scalar subquery."""
     total = df.agg(F.sum(value)).scalar()
-    return df.withColumn(out, F.round(100 * F.col(value) / total, digits))
+    return df.withColumn(out, steady_round(100 * F.col(value) / total, digits))
 
 
 def distribution(df: DataFrame, key: str | Column, name: str, measures: Mapping[str, Column] | None = None,
@@ -64,7 +65,7 @@ def weighted_mean(df: DataFrame, by: Sequence[str], value: str, weight: str, out
                   total: str, digits: int = 2) -> DataFrame:
     return df.groupBy(*by).agg(
         F.sum(weight).alias(total),
-        F.round(F.sum(F.col(weight) * F.col(value)) / F.sum(weight), digits).alias(out),
+        steady_round(F.sum(F.col(weight) * F.col(value)) / F.sum(weight), digits).alias(out),
     )
 
 
@@ -200,9 +201,9 @@ def error_metrics(prefix: str, actual: Column, predicted: Column, digits: int =
     error = predicted - actual
     relative = F.try_divide(error, F.nullif(actual, F.lit(0)))
     return [
-        F.round(F.sqrt(F.avg(error * error)), digits).alias(f"rmse{prefix}"),
-        F.round(F.avg(F.abs(error)), digits).alias(f"mae{prefix}"),
-        F.round(100 * F.avg(F.abs(relative)), 2).alias(f"mape_pct{prefix}"),
+        steady_round(F.sqrt(F.avg(error * error)), digits).alias(f"rmse{prefix}"),
+        steady_round(F.avg(F.abs(error)), digits).alias(f"mae{prefix}"),
+        steady_round(100 * F.avg(F.abs(relative)), 2).alias(f"mape_pct{prefix}"),
     ]
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from cauce.functions.casts import steady_round
 from cauce.operators.aggregates import rounded_avg, union_aligned
 
 
@@ -25,7 +26,7 @@ def evaluate_regression(pred: DataFrame, label: str, prediction: str, model: str
     values = {"mse": F.col("mse"), "mae": F.col("mae"), "rmse": F.sqrt("mse"),
               "r2": 1 - F.try_divide(F.col("mse"), F.col("_variance"))}
     return sums.select(F.lit(model).alias("modelo"), *[
-        (v if digits is None else F.round(v, digits)).alias(n) for n, v in values.items()])
+        (v if digits is None else steady_round(v, digits)).alias(n) for n, v in values.items()])
 
 
 def roc_curve(pred: DataFrame, label: str, probability: str, thresholds: int = 100) -> DataFrame:
@@ -83,7 +84,7 @@ def evaluate_classification(pred: DataFrame, label: str, prediction: str, probab
         "roc_auc": area, "log_loss": F.col("log_loss"),
     }
     return counts.select(F.lit(model).alias("modelo"), *[
-        (v if digits is None else F.round(v, digits)).alias(n) for n, v in values.items()])
+        (v if digits is None else steady_round(v, digits)).alias(n) for n, v in values.items()])
 
 
 def confusion_matrix(pred: DataFrame, label: str, prediction: str, model: str = "model") -> DataFrame:
@@ -125,13 +126,13 @@ def error_by_day(pred: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_viajes"),
         rounded_avg("fare_real", 3).alias("fare_real_prom"),
         rounded_avg("fare_predicho", 3).alias("fare_pred_prom"),
-        F.round(F.sqrt(F.avg(F.col("error_usd") * F.col("error_usd"))), 3).alias("rmse_dia"),
-        F.round(100 * F.avg(F.abs("error_pct")), 2).alias("mape_dia_pct")).orderBy("pickup_date")
+        steady_round(F.sqrt(F.avg(F.col("error_usd") * F.col("error_usd"))), 3).alias("rmse_dia"),
+        steady_round(100 * F.avg(F.abs("error_pct")), 2).alias("mape_dia_pct")).orderBy("pickup_date")
 
 
 def error_summary(pred: DataFrame) -> DataFrame:
     return pred.agg(
         F.count(F.lit(1)).alias("n_viajes_test"),
-        F.round(F.sqrt(F.avg(F.col("error_usd") * F.col("error_usd"))), 4).alias("rmse_test_usd"),
-        F.round(F.avg(F.abs("error_usd")), 4).alias("mae_test_usd"),
-        F.round(100 * F.avg(F.abs("error_pct")), 2).alias("mape_test_pct"))
+        steady_round(F.sqrt(F.avg(F.col("error_usd") * F.col("error_usd"))), 4).alias("rmse_test_usd"),
+        steady_round(F.avg(F.abs("error_usd")), 4).alias("mae_test_usd"),
+        steady_round(100 * F.avg(F.abs("error_pct")), 2).alias("mape_test_pct"))

@@ -8,7 +8,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cauce.functions.casts import safe_divide
+from cauce.functions.casts import safe_divide, steady_round
 from cauce.functions.maps import bucketize, flag
 from cauce.operators.aggregates import rounded_avg
 from cauce.operators.joins import role_play
@@ -106,7 +106,7 @@ def split_balance(features: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_registros"),
         F.min("pickup_date").alias("desde"), F.max("pickup_date").alias("hasta"),
         rounded_avg("fare_amount", 3).alias("fare_medio"),
-        F.round(F.stddev("fare_amount"), 3).alias("fare_stddev"),
+        steady_round(F.stddev("fare_amount"), 3).alias("fare_stddev"),
         rounded_avg("high_tip", 4).alias("tasa_high_tip"),
     ).withColumn("pct", F.round(100 * F.col("n_registros") / total, 2)).orderBy("desde")
 

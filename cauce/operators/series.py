@@ -15,6 +15,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from cauce.functions.casts import steady_round
 from cauce.functions.dates import is_us_holiday
 from cauce.operators.aggregates import coverage_pct, error_metrics
 from cauce.sources.scratch import materialise
@@ -181,11 +182,11 @@ def rolling_origin(df: DataFrame, keys: Sequence[str], day: str, value: str,
     actual = df.select(*keys, day, F.col(value).alias("viajes_reales"))
     error = F.col("prediccion") - F.col("viajes_reales")
     return predicted.join(actual, [*keys, day], "left").select(
-        *keys, "ventana", F.col(day).alias("fecha"), F.round("prediccion", 1).alias("viajes_predichos"),
-        F.round("limite_inferior", 1).alias("limite_inferior"),
-        F.round("limite_superior", 1).alias("limite_superior"), "viajes_reales",
-        F.round(error, 1).alias("error"),
-        F.round(F.try_divide(error, F.col("viajes_reales")), 4).alias("error_pct"))
+        *keys, "ventana", F.col(day).alias("fecha"), steady_round("prediccion", 1).alias("viajes_predichos"),
+        steady_round("limite_inferior", 1).alias("limite_inferior"),
+        steady_round("limite_superior", 1).alias("limite_superior"), "viajes_reales",
+        steady_round(error, 1).alias("error"),
+        steady_round(F.try_divide(error, F.col("viajes_reales")), 4).alias("error_pct"))
 
 
 def forecast_metrics(rolled: DataFrame, by: Sequence[str] = ("ventana",), digits: int = 1) -> DataFrame:
@@ -194,7 +195,7 @@ def forecast_metrics(rolled: DataFrame, by: Sequence[str] = ("ventana",), digits
     rmse, mae, _ = error_metrics("_viajes", actual, predicted, digits)
     return rolled.where(actual.isNotNull()).groupBy(*by).agg(
         F.count(actual).alias("dias_evaluados"), rmse, mae,
-        F.round(100 * F.avg(F.abs("error_pct")), 2).alias("mape_pct"),
+        steady_round(100 * F.avg(F.abs("error_pct")), 2).alias("mape_pct"),
         coverage_pct(actual, F.col("limite_inferior"), F.col("limite_superior")).alias("cobertura_ic_pct"),
     ).orderBy(*by)
 
@@ -253,6 +254,6 @@ def detect_anomalies(df: DataFrame, keys: Sequence[str], day: str, value: str,
     )
     return scored.select(
         *keys, F.col(day).alias("fecha"), F.col(value).alias("valor"),
-        (F.col("_p") > threshold).alias("is_anomaly"), F.round("_p", 4).alias("anomaly_probability"),
-        F.round(F.col("_expected") - reach, 2).alias("limite_inferior"),
-        F.round(F.col("_expected") + reach, 2).alias("limite_superior"))
+        (F.col("_p") > threshold).alias("is_anomaly"), steady_round("_p", 4).alias("anomaly_probability"),
+        steady_round(F.col("_expected") - reach, 2).alias("limite_inferior"),
+        steady_round(F.col("_expected") + reach, 2).alias("limite_superior"))

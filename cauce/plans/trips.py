@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cauce.functions.casts import code_between, safe_divide, safe_int
+from cauce.functions.casts import code_between, safe_divide, safe_int, steady_round
 from cauce.functions.dates import elapsed_minutes
 from cauce.functions.maps import flag, label_codes
 from cauce.operators.aggregates import (coverage, distribution, rate_pct, rounded_avg, rounded_sum,
@@ -172,7 +172,7 @@ def global_metrics(trips: DataFrame, accuracy: int = 10000) -> DataFrame:
     }
     return trips.agg(
         F.count(F.lit(1)).alias("n_viajes"),
-        F.round(F.stddev("fare_amount"), 2).alias("fare_desviacion"),
+        steady_round(F.stddev("fare_amount"), 2).alias("fare_desviacion"),
         *[rounded_avg(c, d).alias(out) for out, (c, d) in means.items()],
         *[F.percentile_approx(c, p, accuracy).alias(out) for out, (c, p) in percentiles.items()])
 
@@ -216,7 +216,7 @@ def zone_pairs(trips: DataFrame) -> DataFrame:
 
 
 def _pair_mean(column: str, digits: int) -> Column:
-    return F.round(F.try_divide(F.sum(f"_sum_{column}"), F.sum(f"_cnt_{column}")), digits)
+    return steady_round(F.try_divide(F.sum(f"_sum_{column}"), F.sum(f"_cnt_{column}")), digits)
 
 
 def agg_zones(trips: DataFrame, zones: DataFrame) -> DataFrame:
@@ -285,7 +285,7 @@ def kpi_row(daily: DataFrame, profile: DataFrame, zones: DataFrame) -> DataFrame
         F.sum("trip_count").alias("total_viajes"),
         rounded_sum("revenue_fare", 2).alias("revenue_fare_usd"),
         rounded_sum("revenue_tips", 2).alias("revenue_tips_usd"),
-        F.round(F.sum("revenue_fare") / F.sum("trip_count"), 2).alias("fare_promedio_usd"))
+        steady_round(F.sum("revenue_fare") / F.sum("trip_count"), 2).alias("fare_promedio_usd"))
     return attach_scalars(totals, {
         "pico_demanda": profile.agg(busiest),
         "zona_top_origen": zones.where("rank_origen = 1").agg(F.min("zone")),
@@ -298,7 +298,7 @@ def monthly_mart(daily: DataFrame) -> DataFrame:
         F.sum("trip_count").alias("viajes"),
         rounded_sum("revenue_fare", 2).alias("revenue_fare"),
         rounded_sum("revenue_tips", 2).alias("revenue_tips"),
-        F.round(F.sum("revenue_fare") / F.sum("trip_count"), 2).alias("fare_promedio"),
+        steady_round(F.sum("revenue_fare") / F.sum("trip_count"), 2).alias("fare_promedio"),
     ).orderBy("mes")
 
 
@@ -317,5 +317,5 @@ def fare_by_distance(predictions: DataFrame) -> DataFrame:
 
 def fare_by_distance_check(buckets: DataFrame) -> DataFrame:
     gap = F.col("fare_real_prom") - F.col("fare_pred_prom")
-    return buckets.agg(F.round(F.sqrt(F.avg(gap * gap)), 3).alias("rmse_entre_promedios"),
+    return buckets.agg(steady_round(F.sqrt(F.avg(gap * gap)), 3).alias("rmse_entre_promedios"),
                        F.max("n_viajes").alias("viajes_en_bucket_mayor"))

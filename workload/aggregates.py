@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from workload import data
 from workload.data import once, table
 from workload.joins import AGG_ZONES_SQL, agg_zones, star
-from workload.registry import query, rnd
+from workload.registry import query, rnd, rnd_row
 
 _MPH = "trip_distance / NULLIF(trip_duration_minutes / 60, 0)"
 _MEANS = {"fare_promedio": ("fare_amount", 2), "distancia_promedio_mi": ("trip_distance", 2),
@@ -173,7 +173,7 @@ def formula_predictions(spark, sf):
 
 
 PRED_SQL = f"""pred AS (SELECT pickup_date, trip_distance, fare_amount AS fare_real, {FORMULA} AS fare_predicho,
-    {rnd(f'{FORMULA} - fare_amount', 4)} AS error_usd, {rnd(f'({FORMULA} - fare_amount) / fare_amount', 4)} AS error_pct
+    {rnd_row(f'{FORMULA} - fare_amount', 4)} AS error_usd, {rnd_row(f'({FORMULA} - fare_amount) / fare_amount', 4)} AS error_pct
     FROM trips)"""
 BUCKETS_SQL = f"""buckets AS (SELECT floor(trip_distance * 2) / 2 AS distancia_bucket_mi, count(*) AS n_viajes,
     {rnd('avg(fare_real)', 2)} AS fare_real_prom, {rnd('avg(fare_predicho)', 2)} AS fare_pred_prom FROM pred GROUP BY 1)"""

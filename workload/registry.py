@@ -23,7 +23,12 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-def rnd(expression: str, digits: int) -> str:
-    """Oracle rounding of a double on its decimal rendering, halves away from zero."""
+def rnd_row(expression: str, digits: int) -> str:
+    """Oracle rounding of one row's double on its decimal rendering, halves away from zero."""
     text = f"CAST(CAST({expression} AS DOUBLE) AS VARCHAR)"
     return f"CAST(round(CAST({text} AS DECIMAL(38,17)), {digits}) AS DOUBLE)"
+
+
+def rnd(expression: str, digits: int) -> str:
+    """Oracle rounding of a sum or mean, settled six digits further on before."""
+    return rnd_row(rnd_row(expression, digits + 6), digits)
