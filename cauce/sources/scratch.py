@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dir: str | None = None
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -32,8 +34,33 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+@contextlib.contextmanager
+def _without_leftovers(spark: SparkSession):
+    """Let a finished write drop its shuffle files at once: its rows are in the shared folder."""
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
 def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     """Write the rows once as Parquet in the shared folder and read them back."""
-    path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = new_path(spark, label)
+    with _without_leftovers(spark):
+        df.write.parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._scratch_path = path
+    return table
+
+
+def release(table: DataFrame) -> None:
+    """Remove a table of ``materialise`` once nothing reads it any more; other tables are left alone."""
+    path = getattr(table, "_scratch_path", None)
+    if path is None:
+        return
+    jvm = table.sparkSession._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
