@@ -8,7 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cauce.functions.casts import steady_round
-from cauce.operators.quantiles import exact_quantiles
+from cauce.operators.order import with_slice_facts
+from cauce.operators.quantiles import exact_quantiles, ordered_values, pick_quantiles
+from cauce.sources.scratch import materialise
 
 
 def rounded_avg(column: str | Column, digits: int) -> Column:
@@ -30,7 +32,8 @@ def rate_pct(condition: Column, digits: int = 2) -> Column:
 
 
 def share_of_total(df: DataFrame, value: str, out: str, digits: int = 2) -> DataFrame:
-    """Percentage of the column total, the total being a scalar subquery."""
+    """Percentage of the column total; the rows are written once, as they are read twice."""
+    df = materialise(df, "shares")
     total = df.agg(F.sum(value)).scalar()
     return df.withColumn(out, steady_round(100 * F.col(value) / total, digits))
 
@@ -45,7 +48,8 @@ def distribution(df: DataFrame, key: str | Column, name: str, measures: Mapping[
     counts = df.groupBy(column.alias(name)).agg(F.count(F.lit(1)).alias(n), *extra)
     if pct is None:
         return counts
-    total = df.agg(F.count(F.lit(1))).scalar()
+    counts = materialise(counts, "counts")  # the counts hold the total: the input is read once
+    total = counts.agg(F.sum(n)).scalar()
     return counts.withColumn(pct, F.round(100 * F.col(n) / total, 2))
 
 
@@ -155,17 +159,20 @@ def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
 
 def box_plot(df: DataFrame, by: str, value: str) -> DataFrame:
     """Quartiles, whiskers within 1.5 interquartile ranges, and the number of outliers."""
-    quartiles = exact_quantiles(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by])
+    ordered = materialise(ordered_values(df, value, [by]), "ordered-values")
+    quartiles = materialise(pick_quantiles(ordered, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by]), "quartiles")
     fences = quartiles.withColumns({
         "_low": F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")),
         "_high": F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")),
     })
-    v = F.col(value)
+    # fences go to each slice of a group, and its values meet them there
+    by_slice = ordered.select("_slice", by).distinct().join(fences.select(by, "_low", "_high"), by)
+    v = F.col("_v")
     inside = v.between(F.col("_low"), F.col("_high"))
-    spread = df.where(v.isNotNull()).join(fences.select(by, "_low", "_high"), by).groupBy(by).agg(
+    spread = with_slice_facts(ordered, by_slice, [by]).groupBy(by).agg(
         F.min(F.when(inside, v)).alias("whisker_low"),
         F.max(F.when(inside, v)).alias("whisker_high"),
-        F.count_if(~inside).alias("n_outliers"))
+        F.sum(F.when(inside, F.lit(0)).otherwise(F.col("_n"))).alias("n_outliers"))
     return quartiles.join(spread, by)
 
 

@@ -11,6 +11,22 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from cauce.sources.scratch import materialise
+
+
+#: A side of at most so many rows is sent to every task instead of being shuffled.
+SMALL_SIDE = 100_000
+
+
+def small_side(df: DataFrame, most: int = SMALL_SIDE) -> DataFrame:
+    """Write an aggregated side once and count it: broadcast if it is small, else a plain side.
+
+    A side made by an aggregate carries the estimate of its input, so Spark would shuffle the big
+    side by the few keys of the small one.
+    """
+    side = materialise(df, "side")
+    return F.broadcast(side) if side.count() <= most else side
+
 
 def lookup_label(df: DataFrame, dim: DataFrame, on: str, dim_key: str, label: str, out: str,
                  default: str | None = None) -> DataFrame:

@@ -9,14 +9,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from cauce.sources.scratch import materialise
 
 
-def running_total(df: DataFrame, order: Sequence[str], weight: str, out: str,
-                  by: Sequence[str] = ()) -> DataFrame:
-    """Exact inclusive running sum of ``weight`` in ``order``, restarting for each ``by`` value.
+def in_slices(df: DataFrame, order: Sequence[str], weight: str, out: str, by: Sequence[str] = (),
+              total: str | None = None) -> DataFrame:
+    """``running_total`` that keeps ``_slice``, and adds the group's whole sum as ``total`` if named.
 
-    ``(by, order)`` must be unique. Rows are range-partitioned, so a group of any size spreads
-    over many tasks; each slice is summed on its own and shifted by the total of the slices
-    before it. The slices are written once, since partition bounds come from sampling and must
-    not move between the two passes.
+    A group of any size lies in many slices, so a join on the slice and the group never brings a
+    group together.
     """
     ranged = (
         df.repartitionByRange(*by, *order)
@@ -24,26 +22,38 @@ def running_total(df: DataFrame, order: Sequence[str], weight: str, out: str,
         .withColumn("_slice", F.spark_partition_id())
     )
     fixed = materialise(ranged, "ordered")
-    if len(fixed.inputFiles()) <= 1:
-        # adaptive execution left one slice: the input is small and nothing comes before it
-        alone = Window.partitionBy(*(by or [F.lit(0)])).orderBy(*order).rowsBetween(
-            Window.unboundedPreceding, 0)
-        return fixed.withColumn(out, F.sum(weight).over(alone)).drop("_slice")
-    keys = ["_slice", *by]
-    within = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    earlier = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_slice").rowsBetween(
-        Window.unboundedPreceding, -1)
+    within = Window.partitionBy("_slice", *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    group = Window.partitionBy(*(by or [F.lit(0)]))
+    earlier = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
-        fixed.groupBy(*keys).agg(F.sum(weight).alias("_total"))
-        .withColumn("_shift", F.coalesce(F.sum("_total").over(earlier), F.lit(0)))
-        .drop("_total")
-    )
-    return (
-        fixed.withColumn("_within", F.sum(weight).over(within))
-        .join(shifts, keys)
-        .withColumn(out, F.col("_within") + F.col("_shift"))
-        .drop("_slice", "_within", "_shift")
+        fixed.groupBy("_slice", *by).agg(F.sum(weight).alias("_sum"))
+        .withColumn("_shift", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))
+        .withColumn("_whole", F.sum("_sum").over(group)).drop("_sum")
     )
+    extra = [F.col("_whole").alias(total)] if total else []
+    return with_slice_facts(fixed.withColumn("_within", F.sum(weight).over(within)), shifts, by).select(
+        *df.columns, "_slice", (F.col("_within") + F.col("_shift")).alias(out), *extra)
+
+
+def with_slice_facts(sliced: DataFrame, facts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Join facts of each slice and group to its rows; NULL groups meet each other."""
+    named = facts.select(*[F.col(c).alias(f"_fact_{c}") if c in ("_slice", *by) else c for c in facts.columns])
+    same = F.lit(True)
+    for c in ("_slice", *by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_fact_{c}"))
+    return sliced.join(named, same).drop(*[f"_fact_{c}" for c in ("_slice", *by)])
+
+
+def running_total(df: DataFrame, order: Sequence[str], weight: str, out: str,
+                  by: Sequence[str] = ()) -> DataFrame:
+    """Exact inclusive running sum of ``weight`` in ``order``, restarting for each ``by`` value.
+
+    ``(by, order)`` must be unique. Rows are range-partitioned, so a group of any size spreads
+    over many tasks; each slice is summed on its own and shifted by the total of the slices
+    before it. The slices are written once, since partition bounds come from sampling and must
+    not move between the two passes.
+    """
+    return in_slices(df, order, weight, out, by).drop("_slice")
 
 
 def number_rows(df: DataFrame, order: Sequence[str], out: str, start: int | Column = 0) -> DataFrame:

@@ -160,7 +160,7 @@ def e03(spark, sf):
 def e04(spark, sf):
     customers = table(spark, sf, "customer")
     medians = exact_median(customers, "c_acctbal", "segment_median", ["c_mktsegment"])
-    return customers.join(medians, "c_mktsegment", "left").select("c_custkey", "c_acctbal", "segment_median")
+    return customers.join(joins.small_side(medians), "c_mktsegment", "left").select("c_custkey", "c_acctbal", "segment_median")
 
 
 @query("e05_keep_first", """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
