@@ -10,6 +10,7 @@ from cauce.functions.casts import parse_decimal
 from cauce.functions.dates import parse_mixed_date
 from cauce.functions.text import blank_to_null, normalize_code, normalize_name, strip_all, title_case
 from cauce.operators.aggregates import pivot_table
+from cauce.operators.joins import small_side
 from cauce.operators.quantiles import exact_median
 from cauce.operators.rows import distinct_rows
 from cauce.sources.scratch import materialise
@@ -29,7 +30,7 @@ def impute_by_group(df: DataFrame, value: str, group: str) -> DataFrame:
     """
     df = materialise(df, "unfilled")
     medians = exact_median(df, value, "_median", [group])
-    grouped = df.join(medians, group, "left").withColumn(
+    grouped = df.join(small_side(medians), group, "left").withColumn(
         value, F.when(F.col(group).isNotNull(), F.coalesce(value, "_median"))).drop("_median")
     overall = exact_median(grouped, value, "_overall").scalar()
     return grouped.withColumn(value, F.coalesce(F.col(value), overall)).select(df.columns)
@@ -54,9 +55,17 @@ def clean_customers(raw: DataFrame, digits: int = 2) -> DataFrame:
     return filled.withColumn("gasto_q", F.bround("gasto_q", digits))
 
 
-def count_pivot(df: DataFrame, categories: Sequence[str] = CATEGORIES) -> DataFrame:
-    return pivot_table(df, "ciudad", "categoria", categories, F.count("id_cliente"))
+def pivot_categories(df: DataFrame, known: Sequence[str] = CATEGORIES, most: int = 1000) -> list[str]:
+    """The usual categories and whatever others the data hold; more than ``most`` are refused."""
+    found = [r[0] for r in df.where(F.col("categoria").isNotNull()).select("categoria").distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"a pivot over more than {most} categories")
+    return [*known, *sorted(set(found) - set(known))]
 
 
-def spend_pivot(df: DataFrame, categories: Sequence[str] = CATEGORIES) -> DataFrame:
-    return pivot_table(df, "ciudad", "categoria", categories, F.round(F.avg("gasto_q"), 2), 0.0)
+def count_pivot(df: DataFrame, categories: Sequence[str] | None = None) -> DataFrame:
+    return pivot_table(df, "ciudad", "categoria", categories or pivot_categories(df), F.count("id_cliente"))
+
+
+def spend_pivot(df: DataFrame, categories: Sequence[str] | None = None) -> DataFrame:
+    return pivot_table(df, "ciudad", "categoria", categories or pivot_categories(df), F.round(F.avg("gasto_q"), 2), 0.0)

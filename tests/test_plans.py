@@ -1,3 +1,4 @@
+import re
 from datetime import date, datetime
 
 import pytest
@@ -183,3 +184,31 @@ def test_run_over_written_marts_again(spark, tmp_path):
     for _ in range(2):
         run = retail.run_layers(spark, retail_raw(spark), str(tmp_path))
     assert spark.read.parquet(run.marts["fct_ventas"]).count() == 1
+
+
+def test_unlisted_categories_stay_in_the_pivot(spark):
+    from cauce.plans.customers import count_pivot
+    df = spark.createDataFrame([(1, "X", "Food"), (2, "X", "Travel")], "id_cliente int, ciudad string, categoria string")
+    row = count_pivot(df).first().asDict()
+    assert row["Food"] == 1 and row["Travel"] == 1 and row["Retail"] == 0
+
+
+def test_no_join_of_grouped_quantiles_is_on_the_bare_group(spark, many_slices):
+    from cauce.operators.aggregates import box_plot
+    from cauce.operators.quantiles import exact_quantiles
+    settings = {"spark.sql.shuffle.partitions": "50", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        df = spark.range(20_000).selectExpr("id % 3 AS g", "cast(id % 5000 AS double) AS v")
+        joins = []
+        for result in (exact_quantiles(df, "v", {"m": 0.5}, ["g"]), box_plot(df, "g", "v")):
+            result.collect()
+            plan = result._jdf.queryExecution().executedPlan().toString()
+            joins.append(re.findall(r"SortMergeJoin(?:\(skew=true\))? \[([^]]*)\]", plan))
+        assert joins[0] and all("_slice" in keys for keys in joins[0])
+        assert any("_slice" in keys for keys in joins[1])  # the others join one row per group
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
