@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from cauce.functions.text import blank_to_null, strip_all
 from cauce.sources.tables import load_idempotent, path_exists
@@ -19,13 +19,33 @@ NULL_TOKENS = ("nan", "None", "")
 DELIMITERS = (",", ";", "\t", "|")
 
 
+#: CSV as other tools write it: quotes inside quotes are doubled, and quoted text may hold line breaks.
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
+
+
+def text_schema(columns: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
+
+
 def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
-             sep: str = ",") -> DataFrame:
-    """Headed CSV as text columns only; typing is a later, explicit projection."""
-    reader = spark.read.option("header", True).option("sep", sep).option("inferSchema", False)
-    if columns is not None:
-        reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
-    return reader.csv(path)
+             sep: str = ",", multiline: bool = True) -> DataFrame:
+    """Headed CSV as text columns only; typing is a later, explicit projection.
+
+    ``columns`` are found by name, whatever their order in the file; one that the header lacks is an
+    error, and so is a file whose header differs from the first one's. With ``multiline`` quoted text
+    may hold line breaks, for which a file is read by one task: turn it off for huge files without.
+    """
+    def reader():
+        return spark.read.options(**CSV_OPTIONS, sep=sep, multiLine=str(multiline).lower())
+
+    found = reader().csv(path)
+    if not found.columns and columns is not None:
+        return spark.createDataFrame([], text_schema(columns))
+    missing = [c for c in columns or () if c not in found.columns]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)} in {path}")
+    whole = reader().option("enforceSchema", False).schema(text_schema(found.columns)).csv(path)
+    return whole if columns is None else whole.select(*[F.col(f"`{c}`") for c in columns])
 
 
 def sniff_delimiter(spark: SparkSession, path: str) -> str:
@@ -57,7 +77,17 @@ def clean_column_name(name: str) -> str:
     return name.strip().lower().replace(" ", "_")
 
 
-def land_csv(df: DataFrame, date_cols: Sequence[str] = ()) -> DataFrame:
+#: Dates of landed text besides ISO, tried in turn; of two readings the month comes first.
+DATE_FORMATS = ("M/d/yyyy", "d/M/yyyy", "M-d-yyyy", "d-M-yyyy", "yyyy/M/d", "MMM d yyyy", "MMM d, yyyy", "d MMM yyyy", "MMMM d, yyyy")
+
+
+def parse_landed_date(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
+    """The first form that reads the text as a date, else NULL."""
+    read = [F.try_to_timestamp(text, F.lit(f)).cast("date") for f in formats]
+    return F.coalesce(text.try_cast("date"), *read)
+
+
+def land_csv(df: DataFrame, date_cols: Sequence[str] = (), date_formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
     """Clean column names, stripped text with missing tokens as NULL, dates or NULL."""
     df = df.toDF(*[clean_column_name(c) for c in df.columns])
     cleaned = []
@@ -66,7 +96,8 @@ def land_csv(df: DataFrame, date_cols: Sequence[str] = ()) -> DataFrame:
         if isinstance(field_.dataType, T.StringType):
             column = blank_to_null(strip_all(column), NULL_TOKENS)
         if field_.name in date_cols:
-            column = column.try_cast("date")
+            column = (parse_landed_date(column, date_formats) if isinstance(field_.dataType, T.StringType)
+                      else column.try_cast("date"))
         cleaned.append(column.alias(field_.name))
     return df.select(*cleaned)
 

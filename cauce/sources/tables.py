@@ -58,7 +58,8 @@ def define_view(df: DataFrame, name: str) -> None:
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Headed CSV with doubled quotes, as other readers expect it."""
+    df.write.mode("overwrite").options(header="true", quote='"', escape='"').csv(path)
 
 
 def export_parquet(df: DataFrame, path: str) -> None:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession, functions as F, types as T
+from pyspark.sql import SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cauce.sources.files import FileSpec, land_csv
+from cauce.sources.files import CSV_OPTIONS, FileSpec, land_csv, text_schema
 
 
 def land_arriving(spark: SparkSession, folder: str, spec: FileSpec, target: str, checkpoint: str) -> StreamingQuery:
@@ -15,8 +15,8 @@ def land_arriving(spark: SparkSession, folder: str, spec: FileSpec, target: str,
     """
     if spec.columns is None:
         raise ValueError("a streamed file needs its column names")
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in spec.columns])
-    arriving = spark.readStream.schema(schema).option("header", True).csv(folder)
+    arriving = spark.readStream.schema(text_schema(spec.columns)).options(
+        **CSV_OPTIONS, multiLine="true", enforceSchema="false").csv(folder)
     landed = land_csv(arriving, spec.date_cols).withColumn("_extracted_at", F.current_timestamp())
     return (
         landed.writeStream.format("parquet").outputMode("append")

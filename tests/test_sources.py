@@ -166,3 +166,27 @@ def test_arriving_files_land_once(spark, tmp_path):
     run()
     got = spark.read.parquet(str(tmp_path / "out")).orderBy(F.asc_nulls_first("id")).collect()
     assert [(r.id, r.cut_date) for r in got] == [(None, None), ("1", date(2024, 1, 5))]
+
+
+def test_csv_as_people_write_it(spark, tmp_path):
+    path = tmp_path / "people.csv"
+    path.write_text('note,id\n"a ""b"", c",1\n"two\nlines",2\n')
+    got = files.read_csv(spark, str(path), ["id", "note"]).orderBy("id").collect()
+    assert [tuple(r) for r in got] == [("1", 'a "b", c'), ("2", "two\nlines")]
+    with pytest.raises(ValueError, match="nowhere"):
+        files.read_csv(spark, str(path), ["id", "nowhere"])
+
+
+def test_exported_csv_doubles_its_quotes(spark, tmp_path):
+    df = spark.createDataFrame([(1, 'a "b", c'), (2, "two\nlines")], "id int, note string").coalesce(1)
+    tables.export_csv(df, str(tmp_path / "out"))
+    part = next((tmp_path / "out").glob("part-*"))
+    assert '"a ""b"", c"' in part.read_text()
+    assert {r.note for r in files.read_csv(spark, str(tmp_path / "out")).collect()} == {'a "b", c', "two\nlines"}
+
+
+def test_landed_dates_in_several_forms(spark):
+    texts = ["2026-01-15", "15/01/2026", "01/02/2026", "Jan 5 2026", "5 Jan 2026", "soon", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, day string")
+    got = [str(r.day) for r in files.land_csv(df, ["day"]).orderBy("id").collect()]
+    assert got == ["2026-01-15", "2026-01-15", "2026-01-02", "2026-01-05", "2026-01-05", "None", "None"]
