@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cauce.functions.casts import steady_round
 from cauce.operators.aggregates import rounded_avg, union_aligned
+from cauce.operators.order import in_slices
 
 
 def mean_squared_error(label: Column, prediction: Column) -> Column:
@@ -14,7 +15,7 @@ def mean_squared_error(label: Column, prediction: Column) -> Column:
 
 def log_loss(label: Column, probability: Column, tiny: float = 1e-15) -> Column:
     p = F.greatest(F.lit(tiny), F.least(F.lit(1 - tiny), probability))
-    return F.avg(-F.when(label == 1, F.ln(p)).otherwise(F.ln(1 - p)))
+    return F.avg(-F.when(label == 1, F.ln(p)).when(label == 0, F.ln(1 - p)))
 
 
 def evaluate_regression(pred: DataFrame, label: str, prediction: str, model: str = "model",
@@ -32,9 +33,14 @@ def evaluate_regression(pred: DataFrame, label: str, prediction: str, model: str
 def roc_curve(pred: DataFrame, label: str, probability: str, thresholds: int = 100) -> DataFrame:
     """Counts and rates at evenly spaced thresholds, highest first.
 
-    Scores are binned first, so only the bins are ordered.
+    A score counts at a threshold it equals. Scores are binned first, so only the bins are ordered;
+    the bin is the last threshold not above the score, compared as it is, since the product of a
+    score and the number of bins may round to either side.
     """
-    bin_ = F.least(F.floor(F.col(probability) * thresholds), F.lit(thresholds)).cast("int")
+    p = F.col(probability)
+    guess = F.floor(p * thresholds)
+    exact = F.when((guess + 1) / thresholds <= p, guess + 1).when(guess / thresholds > p, guess - 1).otherwise(guess)
+    bin_ = F.least(exact, F.lit(thresholds)).cast("int")
     bins = pred.groupBy(bin_.alias("_bin")).agg(
         F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg"))
     frame = pred.sparkSession.range(0, thresholds + 1).select(F.col("id").cast("int").alias("_bin"))
@@ -65,17 +71,30 @@ def roc_auc(curve: DataFrame) -> DataFrame:
     return strips.agg(F.sum("_area").alias("roc_auc"))
 
 
+def exact_auc(pred: DataFrame, label: str, probability: str) -> DataFrame:
+    """Share of pairs of a positive and a negative that are ordered rightly, ties counting half.
+
+    Equal scores are counted first and then ordered in slices; one class alone gives NULL.
+    """
+    y = F.col(label)
+    counts = pred.where(y.isin(0, 1)).groupBy(F.col(probability).alias("_p")).agg(
+        F.count_if(y == 1).alias("_pos"), F.count_if(y == 0).alias("_neg"))
+    ordered = in_slices(counts, ["_p"], "_pos", "_upto", total="_positives")
+    above = (F.col("_positives") - F.col("_upto")).cast("double") + F.col("_pos") / 2
+    return ordered.agg(F.try_divide(
+        F.sum(F.col("_neg") * above), F.sum("_neg") * F.max("_positives").cast("double")).alias("roc_auc"))
+
+
 def evaluate_classification(pred: DataFrame, label: str, prediction: str, probability: str,
-                            model: str = "model", thresholds: int = 1000,
-                            digits: int | None = 4) -> DataFrame:
-    """Accuracy, precision, recall, F1, log loss in one pass, and AUC from the binned curve."""
+                            model: str = "model", digits: int | None = 4) -> DataFrame:
+    """Accuracy, precision, recall, F1, log loss in one pass, and the exact AUC; NULL labels count in none."""
     y, p = F.col(label), F.col(prediction)
     hits = F.count_if((y == 1) & (p == 1))
     counts = pred.agg(
         F.count_if(y == p).alias("_right"), F.count(F.lit(1)).alias("_all"), hits.alias("_tp"),
         F.count_if(p == 1).alias("_called"), F.count_if(y == 1).alias("_true"),
         log_loss(y, F.col(probability)).alias("log_loss"))
-    area = roc_auc(roc_curve(pred, label, probability, thresholds)).scalar()
+    area = exact_auc(pred, label, probability).scalar()
     values = {
         "accuracy": F.try_divide(F.col("_right"), F.col("_all")),
         "precision": F.try_divide(F.col("_tp"), F.col("_called")),
