@@ -37,6 +37,10 @@ ORIGINS = (Origin("R1_pron_sep", date(2022, 8, 31), 30), Origin("R2_pron_oct", d
            Origin("R3_pron_nov", date(2022, 10, 31), 30), Origin("R4_pron_dic", date(2022, 11, 30), 31))
 
 
+#: Cutoff of a window that takes the whole series.
+OPEN_END = date(9999, 12, 31)
+
+
 def normal_quantile(confidence: float) -> float:
     """Two-sided normal quantile by bisection of the error function."""
     low, high = 0.0, 10.0
@@ -112,12 +116,13 @@ def training_sets(df: DataFrame, keys: Sequence[str], day: str, value: str,
                   origins: Sequence[Origin]) -> DataFrame:
     """Adjusted series with weekly differences ``_z`` and their previous value ``_z1``, per window.
 
+    Each window is cut at its cutoff first and only then filled, so no later value reaches a fit.
     Written once, since the fit, the projection and the anomalies all read it.
     """
     group = [*keys, "ventana"]
-    filled = fill_days(df, keys, day, value).drop("was_missing")
-    adjusted = _remove_holidays(
-        _clip_spikes(_windows(filled, day, origins), group, value), group, day, value)
+    cut = _windows(df.select(*keys, day, value), day, origins)
+    filled = fill_days(cut, [*group, "_cutoff", "_horizon"], day, value).drop("was_missing")
+    adjusted = _remove_holidays(_clip_spikes(filled, group, value), group, day, value)
     order = Window.partitionBy(*group).orderBy(day)
     diffed = adjusted.withColumn("_z", F.col(value) - F.lag(value, WEEK).over(order))
     return materialise(diffed.withColumn("_z1", F.lag("_z").over(order)), "training")
@@ -132,7 +137,7 @@ def fit_series(training: DataFrame, keys: Sequence[str], day: str, value: str) -
         F.count(y).alias("n"), F.regr_slope(y, x).alias("_slope"), F.avg(y).alias("_my"), F.avg(x).alias("_mx"),
         F.regr_sxx(y, x).alias("_sxx"), F.regr_syy(y, x).alias("_syy"), F.regr_sxy(y, x).alias("_sxy"),
         F.max_by("_z", day).alias("z_last"), F.max(day).alias("last_day"),
-        F.max("_horizon").alias("_horizon"), F.max("_holiday").alias("holiday_effect"))
+        F.max("_horizon").alias("_horizon"), F.max("_cutoff").alias("_cutoff"), F.max("_holiday").alias("holiday_effect"))
     slope = F.greatest(F.lit(-0.99), F.least(F.lit(0.99), F.coalesce("_slope", F.lit(0.0))))
     fitted = sums.withColumn("b", slope).withColumn("a", F.col("_my") - F.col("b") * F.col("_mx"))
     squares = F.greatest(F.lit(0.0), F.col("_syy") - 2 * F.col("b") * F.col("_sxy")
@@ -145,10 +150,19 @@ def fit_series(training: DataFrame, keys: Sequence[str], day: str, value: str) -
 
 def forecast(training: DataFrame, fits: DataFrame, keys: Sequence[str], day: str, value: str,
              confidence: float = 0.95) -> DataFrame:
-    """Projected value with interval for each day of the horizon."""
+    """Projected value with interval for each day of the horizon, counted from the window's cutoff.
+
+    A series too short to fit repeats its last week, or its mean on weekdays it has not had, without
+    bounds; ``basis`` tells the two apart.
+    """
     group = [*keys, "ventana"]
-    steps = fits.where(F.col("n") > 2).withColumn(
-        "h", F.explode(F.sequence(F.lit(1), F.col("_horizon"))))
+    known = F.col("n") > 2
+    usable = fits.withColumns({
+        "basis": F.when(known, "fitted").otherwise("repeat"), "sigma2": F.when(known, F.col("sigma2")),
+        **{c: F.when(known, F.col(c)).otherwise(0.0) for c in ("mu", "b", "z_last")},
+        # days without a row before the cutoff are stepped over
+        "_gap": F.when(F.col("_cutoff") < F.lit(OPEN_END), F.date_diff("_cutoff", "last_day")).otherwise(0)})
+    steps = usable.withColumn("h", F.explode(F.sequence(F.lit(1), F.col("_horizon") + F.col("_gap"))))
     same_weekday = Window.partitionBy(*group, F.pmod(F.col("h"), F.lit(WEEK))).orderBy("h").rowsBetween(
         Window.unboundedPreceding, 0)
     so_far = Window.partitionBy(*group).orderBy("h").rowsBetween(Window.unboundedPreceding, 0)
@@ -162,14 +176,16 @@ def forecast(training: DataFrame, fits: DataFrame, keys: Sequence[str], day: str
     recent = training.join(fits.select(*group, "last_day"), group).select(
         *group, (F.date_diff(day, "last_day") + WEEK).cast("int").alias("_slot"), F.col(value).alias("_base"),
     ).where(F.col("_slot") >= 1)
+    mean = training.groupBy(*group).agg(F.avg(value).alias("_mean"))
     target = F.date_add("last_day", F.col("h").cast("int"))
     centre = F.col("_base") + F.col("_change") + F.when(
         is_us_holiday(F.col(day)), F.col("holiday_effect")).otherwise(0.0)
     reach = normal_quantile(confidence) * F.sqrt("_var")
     return (
-        projected.join(recent, [*group, "_slot"]).withColumn(day, target)
+        projected.where(F.col("h") > F.col("_gap")).join(mean, group).join(recent, [*group, "_slot"], "left")
+        .withColumn("_base", F.coalesce("_base", "_mean")).withColumn(day, target)
         .select(*group, day, centre.alias("prediccion"), (centre - reach).alias("limite_inferior"),
-                (centre + reach).alias("limite_superior"))
+                (centre + reach).alias("limite_superior"), "basis")
     )
 
 
@@ -201,10 +217,13 @@ def forecast_metrics(rolled: DataFrame, by: Sequence[str] = ("ventana",), digits
 
 
 def fit_quality(fits: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Observations, coefficients, variance, log-likelihood and AIC per window."""
+    """Observations, coefficients, variance, log-likelihood and AIC per window.
+
+    The last two are NULL for a series without noise or too short for a variance.
+    """
     n, variance = F.col("n"), F.col("sigma2")
-    likelihood = -n / 2 * (F.ln(2 * math.pi * variance) + 1)
-    return fits.where(variance > 0).select(
+    likelihood = F.when(variance > 0, -n / 2 * (F.ln(2 * math.pi * variance) + 1))
+    return fits.select(
         *keys, "ventana", "n", "a", "b", F.col("sigma2").alias("variance"),
         likelihood.alias("log_likelihood"), (2 * 3 - 2 * likelihood).alias("aic"))
 
@@ -222,7 +241,7 @@ def decompose(df: DataFrame, keys: Sequence[str], day: str, value: str, horizon:
         *keys, F.col(day).alias("fecha"), F.lit("history").alias("tipo"), F.col(value).alias("valor"),
         "tendencia", "estacionalidad",
         (F.col(value) - F.col("tendencia") - F.col("estacionalidad")).alias("residuo"))
-    ends = [Origin("full", date(9999, 12, 31), horizon)]
+    ends = [Origin("full", OPEN_END, horizon)]
     training = training_sets(df, keys, day, value, ends)
     ahead = forecast(training, fit_series(training, keys, day, value), keys, day, value)
     future = ahead.select(*keys, F.col(day).alias("fecha"), F.lit("forecast").alias("tipo"),
@@ -234,10 +253,12 @@ def detect_anomalies(df: DataFrame, keys: Sequence[str], day: str, value: str,
                      threshold: float = 0.95) -> DataFrame:
     """Days whose one-step error is too large to be chance, with bounds and probability.
 
-    The fit uses the cleaned series, the errors the series as it was.
+    The fit uses the cleaned series, the errors the series as it was. Every day of every series
+    stays: where nothing can be expected yet, bounds and probability are NULL. A series without
+    noise has its expectation as bounds, and any other value is an anomaly.
     """
     keys = list(keys)
-    ends = [Origin("full", date(9999, 12, 31), 1)]
+    ends = [Origin("full", OPEN_END, 1)]
     fits = fit_series(training_sets(df, keys, day, value, ends), keys, day, value).select(
         *keys, "a", "b", "sigma2")
     filled = fill_days(df, keys, day, value)
@@ -249,11 +270,12 @@ def detect_anomalies(df: DataFrame, keys: Sequence[str], day: str, value: str,
     reach = normal_quantile(threshold) * F.sqrt("sigma2")
     scored = (
         diffed.withColumn("_z1", F.lag("_z").over(order)).join(fits, keys)
-        .withColumn("_expected", expected).where(F.col("_expected").isNotNull() & (F.col("sigma2") > 0))
-        .withColumn("_p", central_probability(deviation / F.sqrt("sigma2")))
+        .withColumn("_expected", expected)
+        .withColumn("_p", F.when(F.col("sigma2") > 0, central_probability(F.try_divide(deviation, F.sqrt("sigma2"))))
+                    .when(F.col("sigma2") == 0, (deviation > 1e-6).cast("double")))
     )
     return scored.select(
         *keys, F.col(day).alias("fecha"), F.col(value).alias("valor"),
-        (F.col("_p") > threshold).alias("is_anomaly"), steady_round("_p", 4).alias("anomaly_probability"),
+        F.coalesce(F.col("_p") > threshold, F.lit(False)).alias("is_anomaly"), steady_round("_p", 4).alias("anomaly_probability"),
         steady_round(F.col("_expected") - reach, 2).alias("limite_inferior"),
         steady_round(F.col("_expected") + reach, 2).alias("limite_superior"))

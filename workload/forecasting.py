@@ -50,35 +50,42 @@ def _holiday(d: str) -> str:
 def _model_sql(origins) -> str:
     rows = ", ".join(f"('{o.name}', DATE '{o.cutoff}', {o.horizon})" for o in origins)
     return f"""{_SERIES_SQL}, origins(w, cutoff, horizon) AS (VALUES {rows}),
-  cut AS (SELECT w, horizon, k, d, y FROM filled JOIN origins ON d <= cutoff),
+  seen AS (SELECT w, cutoff, horizon, k, d, CAST(n AS DOUBLE) AS n FROM s JOIN origins ON d <= cutoff),
+  every AS (SELECT w, cutoff, horizon, k, CAST(unnest(generate_series(min(d)::TIMESTAMP, max(d)::TIMESTAMP, INTERVAL 1 DAY)) AS DATE) AS d
+    FROM seen GROUP BY 1, 2, 3, 4),
+  around AS (SELECT e.*, n, (SELECT max(d) FROM seen x WHERE x.w = e.w AND x.k = e.k AND x.d <= e.d) AS d0,
+    (SELECT min(d) FROM seen x WHERE x.w = e.w AND x.k = e.k AND x.d >= e.d) AS d1 FROM every e LEFT JOIN seen USING (w, cutoff, horizon, k, d)),
+  cut AS (SELECT a.w, a.cutoff, a.horizon, a.k, a.d, CASE WHEN a.n IS NULL THEN p.n + (q.n - p.n) * ((a.d - d0) / (d1 - d0)) ELSE a.n END AS y
+    FROM around a JOIN seen p ON p.w = a.w AND p.k = a.k AND p.d = d0 JOIN seen q ON q.w = a.w AND q.k = a.k AND q.d = d1),
   med AS (SELECT w, k, median(y) AS m FROM cut GROUP BY 1, 2),
   tol AS (SELECT w, k, m, 3.0 * 1.4826 * median(abs(y - m)) AS t FROM cut JOIN med USING (w, k) GROUP BY 1, 2, 3),
-  clipped AS (SELECT w, horizon, k, d, CASE WHEN t > 0 THEN greatest(m - t, least(m + t, y)) ELSE y END AS y,
+  clipped AS (SELECT w, cutoff, horizon, k, d, CASE WHEN t > 0 THEN greatest(m - t, least(m + t, y)) ELSE y END AS y,
     {_holiday('d')} AS hol FROM cut JOIN tol USING (w, k)),
   usual AS (SELECT w, k, isodow(d) AS wd, avg(y) AS u FROM clipped WHERE NOT hol GROUP BY 1, 2, 3),
   effect AS (SELECT c.w, c.k, avg(y - u) AS e FROM clipped c JOIN usual s ON s.w = c.w AND s.k = c.k AND s.wd = isodow(d)
     WHERE hol GROUP BY 1, 2),
-  adjusted AS (SELECT w, horizon, k, d, CASE WHEN hol THEN y - coalesce(e, 0) ELSE y END AS y, coalesce(e, 0) AS e
+  adjusted AS (SELECT w, cutoff, horizon, k, d, CASE WHEN hol THEN y - coalesce(e, 0) ELSE y END AS y, coalesce(e, 0) AS e
     FROM clipped LEFT JOIN effect USING (w, k)),
   diffed AS (SELECT *, y - lag(y, 7) OVER (PARTITION BY w, k ORDER BY d) AS z FROM adjusted),
   paired AS (SELECT *, lag(z) OVER (PARTITION BY w, k ORDER BY d) AS z1 FROM diffed),
   sums AS (SELECT w, k, count(*) FILTER (WHERE z1 IS NOT NULL) AS n, regr_slope(z, z1) AS slope,
     avg(z) FILTER (WHERE z1 IS NOT NULL) AS my, avg(z1) FILTER (WHERE z IS NOT NULL) AS mx, regr_sxx(z, z1) AS sxx,
-    regr_syy(z, z1) AS syy, regr_sxy(z, z1) AS sxy, arg_max(z, d) AS z_last, max(d) AS last_day, max(horizon) AS horizon,
+    regr_syy(z, z1) AS syy, regr_sxy(z, z1) AS sxy, arg_max(z, d) AS z_last, max(d) AS last_day, max(horizon) AS horizon, max(cutoff) AS cutoff,
     max(e) AS e FROM paired GROUP BY 1, 2),
   fits AS (SELECT *, my - b * mx AS a, (my - b * mx) / (1 - b) AS mu, greatest(0, syy - 2 * b * sxy + b * b * sxx) / (n - 2) AS sigma2
+    , CASE WHEN cutoff < DATE '9999-12-31' THEN cutoff - last_day ELSE 0 END AS gap
     FROM (SELECT *, greatest(-0.99, least(0.99, coalesce(slope, 0))) AS b FROM sums))"""
 
 
 _Z = series.normal_quantile(0.95)
-_FORECAST_SQL = f"""steps AS (SELECT fits.*, unnest(generate_series(1, horizon)) AS h FROM fits),
+_FORECAST_SQL = f"""steps AS (SELECT fits.*, unnest(generate_series(1, horizon + gap)) AS h FROM fits),
   moved AS (SELECT *, sum(mu + pow(b, h) * (z_last - mu)) OVER r AS change, sum(pow(b, h - 1)) OVER r AS psi FROM steps
     WINDOW r AS (PARTITION BY w, k, h % 7 ORDER BY h ROWS UNBOUNDED PRECEDING)),
   wide AS (SELECT *, sigma2 * sum(psi * psi) OVER (PARTITION BY w, k ORDER BY h ROWS UNBOUNDED PRECEDING) AS v,
     CAST(last_day + CAST(h AS INTEGER) AS DATE) AS target FROM moved),
   base AS (SELECT a.w, a.k, a.d - last_day + 7 AS slot, y FROM adjusted a JOIN fits f ON f.w = a.w AND f.k = a.k WHERE a.d - last_day + 7 >= 1),
   projected AS (SELECT x.w, x.k, target, y + change + CASE WHEN {_holiday('target')} THEN e ELSE 0 END AS p, {_Z!r} * sqrt(v) AS reach
-    FROM wide x JOIN base b ON b.w = x.w AND b.k = x.k AND b.slot = (h - 1) % 7 + 1)"""
+    FROM wide x JOIN base b ON b.w = x.w AND b.k = x.k AND b.slot = (h - 1) % 7 + 1 WHERE h > gap)"""
 _ROLLED_SQL = f"""rolled AS (SELECT p.k AS o_orderpriority, p.w AS ventana, target AS fecha, {rnd('p', 1)} AS viajes_predichos,
     {rnd('p - reach', 1)} AS limite_inferior, {rnd('p + reach', 1)} AS limite_superior, n AS viajes_reales,
     {rnd('p - n', 1)} AS error, {rnd('(p - n) / n', 4)} AS error_pct
@@ -112,7 +119,7 @@ def m01(spark, sf):
 
 
 @query("m02_forecast", f"""WITH {_model_sql([LAST])}, {_FORECAST_SQL} SELECT k AS o_orderpriority, w AS ventana, target AS day,
-    round(p, 3) AS prediccion, round(p - reach, 3) AS limite_inferior, round(p + reach, 3) AS limite_superior FROM projected""")
+    round(p, 3) AS prediccion, round(p - reach, 3) AS limite_inferior, round(p + reach, 3) AS limite_superior, 'fitted' AS basis FROM projected""")
 def m02(spark, sf):
     training = _training(spark, sf, "last", [LAST])
     ahead = series.forecast(training, series.fit_series(training, KEYS, DAY, VALUE), KEYS, DAY, VALUE)
@@ -139,8 +146,8 @@ def m05(spark, sf):
 
 
 @query("m06_fit_quality", f"""WITH {_model_sql(ORIGINS)} SELECT k AS o_orderpriority, w AS ventana, n, {_z0('a', 4)} AS a, {_z0('b', 4)} AS b,
-    {_z0('sigma2', 4)} AS variance, round(-n / 2 * (ln(2 * pi() * sigma2) + 1), 3) AS log_likelihood,
-    round(6 + n * (ln(2 * pi() * sigma2) + 1), 3) AS aic FROM fits WHERE sigma2 > 0""")
+    {_z0('sigma2', 4)} AS variance, CASE WHEN sigma2 > 0 THEN round(-n / 2 * (ln(2 * pi() * sigma2) + 1), 3) END AS log_likelihood,
+    CASE WHEN sigma2 > 0 THEN round(6 + n * (ln(2 * pi() * sigma2) + 1), 3) END AS aic FROM fits""")
 def m06(spark, sf):
     quality = series.fit_quality(series.fit_series(_training(spark, sf), KEYS, DAY, VALUE), KEYS)
     return _plain(quality, {"a": 4, "b": 4, "variance": 4, "log_likelihood": 3, "aic": 3})
@@ -164,10 +171,10 @@ _ERF = "(1 - t * (0.254829592 + t * (-0.284496736 + t * (1.421413741 + t * (-1.4
 @query("m08_detect_anomalies", f"""WITH {_model_sql([Origin('full', date(9999, 12, 31), 1)])},
     g AS (SELECT k, d, y, lag(y, 7) OVER (PARTITION BY k ORDER BY d) AS before FROM filled),
     g1 AS (SELECT *, lag(y - before) OVER (PARTITION BY k ORDER BY d) AS z1 FROM g),
-    g2 AS (SELECT g1.k, g1.d, g1.y, before + a + b * g1.z1 AS expected, sigma2 FROM g1 JOIN fits USING (k)),
-    g3 AS (SELECT *, abs(y - expected) / sqrt(sigma2) / sqrt(2) AS x FROM g2 WHERE expected IS NOT NULL AND sigma2 > 0),
+    g2 AS (SELECT g1.k, g1.d, g1.y, before + a + b * g1.z1 AS expected, sigma2 FROM g1 LEFT JOIN fits USING (k)),
+    g3 AS (SELECT *, CASE WHEN sigma2 > 0 THEN abs(y - expected) / sqrt(sigma2) / sqrt(2) END AS x FROM g2),
     g4 AS (SELECT *, 1 / (1 + 0.3275911 * x) AS t FROM g3), g5 AS (SELECT *, {_ERF} AS pr FROM g4)
-    SELECT k AS o_orderpriority, d AS fecha, y AS valor, pr > 0.95 AS is_anomaly, {rnd('pr', 4)} AS anomaly_probability,
+    SELECT k AS o_orderpriority, d AS fecha, y AS valor, coalesce(pr > 0.95, false) AS is_anomaly, {rnd('pr', 4)} AS anomaly_probability,
     {rnd(f'expected - {_Z!r} * sqrt(sigma2)', 2)} AS limite_inferior, {rnd(f'expected + {_Z!r} * sqrt(sigma2)', 2)} AS limite_superior
     FROM g5""")
 def m08(spark, sf):
