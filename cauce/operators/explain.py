@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cauce.operators.aggregates import share_of_total
 from cauce.operators.models import Trained, positive_probability
+from cauce.sources.scratch import materialise
 
 
 def slot_names(trained: Trained, df: DataFrame) -> list[str]:
@@ -90,10 +91,11 @@ def global_explain(rows: DataFrame, trained: Trained, base: dict, model: str, cl
 
 def explain_rows(rows: DataFrame, trained: Trained, base: dict, key: Sequence[str], k: int = 4,
                  classifier: bool = False) -> DataFrame:
-    """The k strongest attributions of each row; a row holds one entry per input, so groups are small."""
+    """The k strongest attributions of each row, also of rows that share ``key``; a row has one entry per input."""
     entry = F.struct(F.abs("attribution").alias("size"), "feature", "attribution")
-    each = occlusions(rows, trained, base, key, classifier)
-    ranked = each.groupBy(*key).agg(F.first("score").alias("score"),
-                                    F.sort_array(F.collect_list(entry), asc=False).alias("_all"))
+    marked = materialise(rows.withColumn("_row", F.monotonically_increasing_id()), "explained")
+    each = occlusions(marked, trained, base, ["_row", *key], classifier)
+    ranked = each.groupBy("_row", *key).agg(F.first("score").alias("score"),
+                                            F.sort_array(F.collect_list(entry), asc=False).alias("_all"))
     return ranked.select(*key, "score", F.posexplode(F.slice("_all", 1, k)).alias("_pos", "_e")).select(
         *key, "score", (F.col("_pos") + 1).alias("rank"), "_e.feature", "_e.attribution")

@@ -118,6 +118,12 @@ def fit_logistic(view: DataFrame, inputs: Inputs, l1: float = 0.001, l2: float =
     return Trained(prepare, model, inputs, tuple(model.summary.objectiveHistory))
 
 
+def _bins(prepare, least: int = 64) -> int:
+    """Bins of a tree: one for each label of the widest category, its slot for unseen ones included."""
+    widest = [len(labels) for stage in prepare.stages if hasattr(stage, "labelsArray") for labels in stage.labelsArray]
+    return max([least, *(n + 1 for n in widest)])
+
+
 def _best_trial(make: Callable[[dict], object], trials: Sequence[dict], train: DataFrame, evaluation: DataFrame,
                 loss: Callable[[DataFrame], Column]):
     """Fit every setting on TRAIN; the least EVAL loss wins."""
@@ -138,7 +144,7 @@ def fit_gbt_tuned(view: DataFrame, inputs: Inputs, trials: Sequence[dict] = GBT_
                   seed: int = 42) -> Trained:
     prepare, train, evaluation = _prepared(view, inputs, one_hot=False)
     model, record = _best_trial(
-        lambda s: GBTRegressor(maxIter=trees, seed=seed, maxBins=64, **s), trials, train, evaluation,
+        lambda s: GBTRegressor(maxIter=trees, seed=seed, maxBins=_bins(prepare), **s), trials, train, evaluation,
         lambda _: mean_squared_error(F.col("label"), F.col("prediction")))
     return Trained(prepare, model, inputs, trials=record)
 
@@ -147,7 +153,7 @@ def fit_forest_tuned(view: DataFrame, inputs: Inputs, trials: Sequence[dict] = F
                      seed: int = 42) -> Trained:
     prepare, train, evaluation = _prepared(view, inputs, one_hot=False, weighted=True)
     model, record = _best_trial(
-        lambda s: RandomForestClassifier(weightCol="weight", seed=seed, maxBins=64, **s), trials, train,
+        lambda s: RandomForestClassifier(weightCol="weight", seed=seed, maxBins=_bins(prepare), **s), trials, train,
         evaluation, lambda _: log_loss(F.col("label"), positive_probability()))
     return Trained(prepare, model, inputs, trials=record)
 
