@@ -77,8 +77,21 @@ def test_curve_is_monotone_and_area_matches_pairs(spark):
     assert curve[-1].recall == 1.0 and curve[-1].true_negatives == 0
     pos, neg = score[label == 1], score[label == 0]
     exact = np.mean([(p > neg).mean() + (p == neg).mean() / 2 for p in pos])
-    area = evaluate.roc_auc(evaluate.roc_curve(df, "y", "p", 1000)).first().roc_auc
-    assert abs(area - exact) < 2e-3
+    assert abs(evaluate.exact_auc(df, "y", "p").first().roc_auc - exact) < 1e-12
+
+
+def test_score_that_equals_a_threshold_counts_there(spark):
+    df = spark.createDataFrame([(i % 2, i / 100) for i in range(101)], "y int, p double")
+    for row in evaluate.roc_curve(df, "y", "p", 100).collect():
+        assert row.true_positives + row.false_positives == sum(i / 100 >= row.threshold for i in range(101))
+
+
+def test_missing_labels_count_in_no_metric(spark):
+    rows = [(1, 1.0, 0.9), (0, 0.0, 0.2)]
+    with_null = spark.createDataFrame([*rows, (None, 1.0, 0.7)], "y int, c double, p double")
+    plain = spark.createDataFrame(rows, "y int, c double, p double")
+    got, want = (evaluate.evaluate_classification(x, "y", "c", "p").first() for x in (with_null, plain))
+    assert (got.log_loss, got.roc_auc) == (want.log_loss, want.roc_auc)
 
 
 def test_one_class_only(spark):
@@ -158,3 +171,42 @@ def test_decomposition_adds_up(spark):
     past = parts.where("tipo = 'history'")
     gap = F.abs(F.col("valor") - F.col("tendencia") - F.col("estacionalidad") - F.col("residuo"))
     assert past.agg(F.max(gap)).first()[0] < 1e-9 and parts.where("tipo = 'forecast'").count() == 10
+
+
+def test_values_after_the_cutoff_change_no_forecast(spark):
+    days = [date(2022, 1, 1) + timedelta(days=i) for i in range(120)]
+    rows = [(d, 100.0 + 10 * (i % 7) + i % 3) for i, d in enumerate(days) if i not in (89, 90)]
+    later = [(d, v * 50 if d > days[89] else v) for d, v in rows]
+    origin = [Origin("w", days[89], 14)]
+    got = [series.rolling_origin(frame(spark, x), ["k"], "day", "n", origin).orderBy("fecha").collect() for x in (rows, later)]
+    assert [r.viajes_predichos for r in got[0]] == [r.viajes_predichos for r in got[1]]
+    assert [r.fecha for r in got[0]] == days[90:104]  # days of the window, though the cutoff day has no row
+
+
+def test_short_and_noise_free_series_stay(spark):
+    days = [date(2022, 1, 1) + timedelta(days=i) for i in range(60)]
+    short = frame(spark, [(d, 5.0) for d in days[:5]], "short")
+    data = short.union(frame(spark, [(d, 20.0) for d in days], "flat"))
+    training = series.training_sets(data, ["k"], "day", "n", [Origin("w", series.OPEN_END, 10)])
+    fits = series.fit_series(training, ["k"], "day", "n")
+    ahead = series.forecast(training, fits, ["k"], "day", "n").collect()
+    assert {(r.k, r.basis) for r in ahead} == {("short", "repeat"), ("flat", "fitted")} and len(ahead) == 20
+    assert {r.prediccion for r in ahead if r.k == "short"} == {5.0}
+    assert series.fit_quality(fits, ["k"]).count() == 2
+    assert series.detect_anomalies(data, ["k"], "day", "n").count() == 65
+
+
+def test_explanations_of_rows_that_share_a_key_stay_apart(spark):
+    view = spark.createDataFrame([(i % 2, float(i), float(2 * i), "a", "TRAIN" if i % 3 else "EVAL") for i in range(60)],
+                                 "key int, x double, fare double, c string, split_set string")
+    trained = models.fit_linear(view, models.Inputs("fare", ("x",), ("c",)))
+    base = explain.baseline(view, trained)
+    got = explain.explain_rows(view.limit(14), trained, base, ["key"], 2).collect()
+    assert len(got) == 28
+
+
+def test_trees_take_categories_of_any_number(spark):
+    view = spark.createDataFrame([(float(i % 7), float(i % 200), f"c{i % 200}", "TRAIN" if i % 3 else "EVAL") for i in range(900)],
+                                 "x double, fare double, c string, split_set string")
+    trained = models.fit_gbt_tuned(view, models.Inputs("fare", ("x",), ("c",)), trials=({"maxDepth": 2},), trees=2)
+    assert len(trained.trials) == 1

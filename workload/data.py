@@ -40,11 +40,11 @@ CONFIG = FeatureConfig(
 def raw_trips(spark: SparkSession, sf: str) -> DataFrame:
     """The raw trip table, written once.
 
-    The supplied line items are one row group, which only one task can read, so the rows are
-    spread before the table is written.
+    The supplied line items are one row group, which only one task can read, so the rows are spread
+    before the table is written, over as many parts as Spark finds right for their size.
     """
     return once(spark, sf, "raw-trips", lambda: materialise(
-        _derived_trips(spark, sf).repartition(spark.sparkContext.defaultParallelism), "raw-trips"))
+        _derived_trips(spark, sf).hint("rebalance"), "raw-trips"))
 
 
 def _derived_trips(spark: SparkSession, sf: str) -> DataFrame:
