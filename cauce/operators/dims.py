@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from cauce.functions.casts import safe_int
 from cauce.functions.dates import date_key, day_name_es, iso_weekday, month_name_es
@@ -47,17 +47,22 @@ def build_value_dims(df: DataFrame, specs: Mapping[str, ValueDim],
     """Many value dimensions from a single scan of the source.
 
     All values are stacked as (dimension, value), made distinct, and those not yet known are
-    numbered per dimension in sorted order, after the highest known key.
+    numbered per dimension in the order of the typed values, after the highest known key.
     """
     known = {name: dim for name, dim in (existing or {}).items() if name in specs}
-    cells = [F.struct(F.lit(name).alias("_dim"), F.col(c).cast("string").alias("_value"))
+    def place(c: str) -> Column:
+        """Where a value stands among the others: numbers by size, all else by its text."""
+        number = isinstance(df.schema[c].dataType, T.NumericType)
+        return (F.col(c).try_cast("decimal(38,9)") if number else F.lit(None).cast("decimal(38,9)")).alias("_place")
+
+    cells = [F.struct(F.lit(name).alias("_dim"), F.col(c).cast("string").alias("_value"), place(c))
              for name, spec in specs.items() for c in spec.columns]
     values = df.select(F.explode(F.array(*cells)).alias("_c")).select("_c.*").where(
         F.col("_value").isNotNull()).distinct()
     for name, dim in known.items():
         seen = dim.select(F.lit(name).alias("_dim"), F.col(specs[name].business).cast("string").alias("_value"))
         values = values.join(seen, ["_dim", "_value"], "left_anti")
-    numbered = materialise(running_total(values.withColumn("_one", F.lit(1).cast("long")), ["_value"],
+    numbered = materialise(running_total(values.withColumn("_one", F.lit(1).cast("long")), ["_place", "_value"],
                                          "_one", "_number", ["_dim"]), "dimensions")
     built = {}
     for name, spec in specs.items():

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import re
 import tempfile
 import uuid
 
@@ -13,7 +14,10 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temporary one only on local masters."""
+    """The shared folder named by ``spark.checkpoint.dir``; a temporary one only on local masters.
+
+    On a cluster a path without a scheme is refused where the default file system is the machine's own.
+    """
     global _local_dir
     context = spark.sparkContext
     named = (
@@ -21,15 +25,23 @@ def scratch_dir(spark: SparkSession) -> str:
         or context.getConf().get("spark.checkpoint.dir")
         or context.getCheckpointDir()
     )
+    local = re.match(r"local(\[|$)", context.master)
     if named:
+        if not local and ":" not in named and _default_scheme(spark) == "file":
+            raise RuntimeError(f"{named} is a folder of one machine: give spark.checkpoint.dir the scheme of a shared store")
         return named
-    if not context.master.startswith("local"):
+    if not local:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if _local_dir is None:
         _local_dir = tempfile.mkdtemp(prefix="cauce-scratch-")
     return _local_dir
 
 
+def _default_scheme(spark: SparkSession) -> str:
+    hadoop = spark._jsparkSession.sessionState().newHadoopConf()
+    return spark._jvm.org.apache.hadoop.fs.FileSystem.getDefaultUri(hadoop).getScheme()
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
 

@@ -113,6 +113,13 @@ def d08(spark, sf):
     return agg_zones(spark, sf).select("zone", "borough", "viajes_origen", "viajes_destino", "fare_promedio")
 
 
+@query("d08_top_zones", f"""WITH {data.TRIPS_SQL}, {data.ZONES_SQL}, {AGG_ZONES_SQL}, ranked AS (SELECT *,
+    rank() OVER (ORDER BY viajes_origen DESC) AS r, sum(viajes_origen) OVER () AS whole FROM agg_zones)
+    SELECT zone, borough, viajes_origen, {rnd('100.0 * viajes_origen / whole', 2)} AS pct_origenes FROM ranked ORDER BY r, location_id LIMIT 5""")
+def d08_top(spark, sf):
+    return trip_plans.top_zones(agg_zones(spark, sf))
+
+
 @query("d09_payment_comparison", f"""WITH {data.TRIPS_SQL} SELECT CASE payment_type WHEN 1 THEN 'Tarjeta de credito'
     WHEN 2 THEN 'Efectivo' WHEN 3 THEN 'Sin cargo' WHEN 4 THEN 'Disputa' WHEN 5 THEN 'Desconocido'
     WHEN 6 THEN 'Viaje anulado' ELSE 'Otro' END AS metodo_pago, count(*) AS n_viajes,

@@ -33,7 +33,8 @@ def i02(spark, sf):
 
 @query("i03_build_role_dim", f"WITH {data.STAR_SQL} SELECT * FROM dim_aeropuerto")
 def i03(spark, sf):
-    return star(spark, sf).dims["dim_aeropuerto"]
+    spec = flights.VALUE_DIMS["dim_aeropuerto"]
+    return dims.build_role_dim(clean_flights(spark, sf), spec.columns, spec.business, spec.surrogate)
 
 
 _CALENDAR = """CAST(strftime(d, '%Y%m%d') AS INTEGER) AS fecha_key, d AS fecha, year(d) AS anio, month(d) AS mes,
@@ -359,6 +360,20 @@ def k05(spark, sf):
     return measures.ranking(late, ["destination_airport"], F.count(F.lit(1)), "vuelos", 5)
 
 
+@query("k05_ranking_airline", f"""WITH {data.FLIGHTS_SQL} SELECT airline_name, count(*) AS vuelos FROM flights
+    WHERE status = 'DELAYED' GROUP BY 1""")
+def k05_airline(spark, sf):
+    late = measures.apply_slicers(clean_flights(spark, sf), {"status": ["DELAYED"]})
+    return measures.ranking(late, ["airline_name"], F.count(F.lit(1)), "vuelos")
+
+
+@query("k05_daily_line", f"""WITH {data.FLIGHTS_SQL} SELECT CAST(departure_datetime AS DATE) AS dia, count(*) AS vuelos FROM flights
+    WHERE status = 'DELAYED' GROUP BY 1""")
+def k05_daily(spark, sf):
+    late = measures.apply_slicers(clean_flights(spark, sf), {"status": ["DELAYED"]}).withColumn("dia", F.to_date("departure_datetime"))
+    return measures.ranking(late, ["dia"], F.count(F.lit(1)), "vuelos").orderBy("dia")
+
+
 @query("k06_current_versions", f"WITH {HISTORY_SQL} SELECT c_custkey, version, c_nationkey FROM dim WHERE es_actual")
 def k06(spark, sf):
     return current_versions(customer_history(spark, sf).dimension).select("c_custkey", "version", "c_nationkey")

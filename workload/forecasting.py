@@ -211,6 +211,8 @@ ZONES = (132, 138, 237, 238, 239, 161, 142, 141, 170, 114)
 MARCH = (date(1998, 3, 1), date(1998, 3, 31))
 SUMMER = (date(1998, 6, 1), date(1998, 8, 31))
 SEPTEMBER = (date(1998, 9, 1), date(1998, 9, 30))
+#: A zone with departures in that month at every scale of the supplied tables.
+BUSY_ZONE = 244
 WINTER = (date(1998, 1, 1), date(1998, 2, 28))
 JULY_DAY = date(1998, 7, 15)
 
@@ -222,7 +224,7 @@ def _within(period) -> str:
 BENCHMARK = {
     "n01_month_daily": lambda df: layout.daily_revenue(df, *MARCH),
     "n02_quarter_zones": lambda df: layout.zone_averages(df, *SUMMER, ZONES),
-    "n03_zone_destinations": lambda df: layout.zone_destinations(df, *SEPTEMBER, 132),
+    "n03_zone_destinations": lambda df: layout.zone_destinations(df, *SEPTEMBER, BUSY_ZONE),
     "n04_weekday_hours": lambda df: layout.weekday_hours(df, *WINTER),
     "n05_day_two_columns": lambda df: layout.day_narrow(df, JULY_DAY),
 }
@@ -242,7 +244,7 @@ def n02(spark, sf):
 
 
 @query("n03_zone_destinations", f"""WITH {data.TRIPS_SQL} SELECT pickup_location_id, dropoff_location_id, count(*) AS viajes,
-    {rnd('sum(fare_amount)', 2)} AS revenue FROM trips WHERE {_within(SEPTEMBER)} AND pickup_location_id = 132
+    {rnd('sum(fare_amount)', 2)} AS revenue FROM trips WHERE {_within(SEPTEMBER)} AND pickup_location_id = {BUSY_ZONE}
     GROUP BY 1, 2 ORDER BY viajes DESC, dropoff_location_id LIMIT 25""")
 def n03(spark, sf):
     return BENCHMARK["n03_zone_destinations"](partitioned_trips(spark, sf))
@@ -291,6 +293,13 @@ def n06(spark, sf):
     return layout.compare_runs(once(spark, sf, "run-log", measure))
 
 
+@query("n06_run_facts", " UNION ALL ".join(f"SELECT '{name}' AS prueba, true AS fewer_bytes, true AS timed" for name in BENCHMARK))
+def n06f(spark, sf):
+    """What must hold of any run: all queries are there, pruning leaves fewer bytes, both were timed."""
+    return n06(spark, sf).select("prueba", (F.col("bytes_opt") < F.col("bytes_std")).alias("fewer_bytes"),
+                                 (F.col("ms_std").isNotNull() & F.col("ms_opt").isNotNull()).alias("timed"))
+
+
 @query("n07_day_probe", f"""WITH {data.TRIPS_SQL} SELECT {rnd('sum(fare_amount)', 2)} AS revenue_dia FROM trips
     WHERE pickup_date = DATE '{JULY_DAY}'""")
 def n07(spark, sf):

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from cauce.sources import files, tables
-from cauce.sources.scratch import new_path
+from cauce.sources.scratch import materialise, new_path
 from pyspark.sql import functions as F
 from workload.data import LOAD_TS, once, table
 from workload.registry import query
@@ -195,6 +195,15 @@ def a18(spark, sf):
     return tables.preview(table(spark, sf, "lineitem"), ["l_orderkey", "l_shipdate", "l_extendedprice"], 15)
 
 
+@query("a18_preview_facts", """SELECT least(count(*), 15) AS n_rows, least(count(*), 15) AS n_found FROM lineitem""")
+def a18f(spark, sf):
+    """A preview may hold any rows, but so many, and only rows of the table."""
+    columns = ["l_orderkey", "l_shipdate", "l_extendedprice"]
+    rows = materialise(a18(spark, sf), "preview")
+    found = rows.join(table(spark, sf, "lineitem").select(columns), columns, "left_semi")
+    return rows.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_found", found.agg(F.count(F.lit(1))).scalar())
+
+
 _NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
