@@ -18,7 +18,7 @@ from cauce.llm.words import distinct, slices
 
 BITS = 20
 EPOCHS = 3
-ALPHA, BETA, L1, L2 = 1.0, 1.0, 8.0, 0.1
+ALPHA, BETA, L1, L2 = 2.0, 1.0, 8.0, 0.1
 #: Score where there was nothing to learn from.
 NO_MODEL = 0.0
 
