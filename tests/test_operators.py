@@ -1,6 +1,7 @@
 import math
 from datetime import date, datetime
 
+import re
 import numpy as np
 import pandas as pd
 import pytest
@@ -73,7 +74,9 @@ def test_keep_first_keeps_null_keys_and_combines_before_the_shuffle(spark):
     df = spark.createDataFrame([(None, 1), (None, 2)], "k int, o int")
     first = rows.keep_first(df, ["k"], ["o"])
     assert [tuple(r) for r in first.collect()] == [(None, 1)]
-    assert "partial_min_by" in first._jdf.queryExecution().executedPlan().toString()
+    plan = first._jdf.queryExecution().sparkPlan().toString() + first._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.rindex("Exchange hashpartitioning"):]
+    assert re.search(r"WindowGroupLimit .*row_number\(\), 1, Partial", below)
 
 
 def test_conditional_overwrites(spark):
