@@ -1,7 +1,7 @@
 import math
+import re
 from datetime import date, datetime
 
-import re
 import numpy as np
 import pandas as pd
 import pytest
