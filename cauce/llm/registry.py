@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import importlib
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,5 +31,13 @@ def load_all() -> None:
         importlib.import_module(f"cauce.llm.{name}")
 
 
+def findable(spark: SparkSession) -> None:
+    """Let Python workers look for this package where the driver found it; on a cluster it is installed there."""
+    root, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in known.get("PYTHONPATH", "").split(os.pathsep):
+        known["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known.get("PYTHONPATH")]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    findable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cauce.llm.packing import pack_documents
+from cauce.llm.registry import findable
 from cauce.llm.rules import quality_rules
 from cauce.llm.secrets import redact_secrets
 from cauce.llm.simhash import keep_one
@@ -31,11 +32,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group."""
+    findable(spark)
     return keep_one(docs)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 words that an earlier document has are cut; texts that lose nothing stay as they are."""
+    findable(spark)
     cut = cut_repeats(docs, out="_cut")
     text = F.when(F.col("_cut.n_removed") > 0, F.col("_cut.text")).otherwise(F.col("text"))
     return _with_text(cut, text).select(*docs.columns)
@@ -43,11 +46,13 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets, also encoded ones, are replaced by a mark."""
+    findable(spark)
     return _with_text(redact_secrets(docs), F.col("text")).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in their training sequences."""
+    findable(spark)
     return pack_documents(docs)
 
 
