@@ -1,8 +1,9 @@
 """Daily series: gap filling, seasonal forecasts with intervals, backtests, decomposition, anomalies.
 
-The model differences each series by one week and fits a first-order autoregression to the
-differences, per series and training window, as aggregates. It stands in for a seasonal ARIMA;
-spikes are clipped, gaps interpolated and holidays adjusted first. All windows run in one plan.
+The model differences each series by one week; per series and training window the best of four
+forms (with and without an autoregressive term and a drift) is fitted to the differences as
+aggregates. It stands in for a seasonal ARIMA; gaps are interpolated, steps of the level taken out,
+spikes clipped and holidays adjusted first. All windows run in one plan.
 Every Spark window below spans the days of one series, a number bounded by the calendar.
 """
 
@@ -87,6 +88,35 @@ def _windows(df: DataFrame, day: str, origins: Sequence[Origin]) -> DataFrame:
     return spread.where(F.col(day) <= F.col("_cutoff"))
 
 
+def _level_steps(df: DataFrame, group: list[str], day: str, value: str, limit: float = 3.0,
+                 least: float = 0.1) -> DataFrame:
+    """Lift the days before a lasting change of level by its size; ``_steps`` counts the changes.
+
+    A step begins where the median of the seven weekly differences from that day on, less the usual
+    one, is beyond ``limit`` scaled median deviations and ``least`` of the mean level, and no day
+    less than a week away moves more. A series whose differences have no spread is left as it is.
+    """
+    whole = Window.partitionBy(*group)
+    order = whole.orderBy(day)
+    ahead = order.rowsBetween(0, WEEK - 1)
+    diffed = df.withColumn("_d", F.col(value) - F.lag(value, WEEK).over(order))
+    centred = diffed.withColumn("_d", F.col("_d") - F.median("_d").over(whole))
+    ranked = F.sort_array(F.collect_list("_d").over(ahead))
+    moved = centred.withColumns({
+        "_mad": 1.4826 * F.median(F.abs("_d")).over(whole), "_level": F.abs(F.avg(value).over(whole)),
+        "_move": F.when(F.size(ranked) == WEEK, F.get(ranked, F.lit(WEEK // 2))),
+        "_score": F.abs(F.round(F.avg("_d").over(ahead), 6))})
+    large = (F.col("_mad") > 0) & (F.abs("_move") > F.greatest(limit * F.col("_mad"), least * F.col("_level")))
+    gated = moved.withColumn("_score", F.when(large, F.col("_score")))
+    before = F.max("_score").over(order.rowsBetween(1 - WEEK, -1))
+    after = F.max("_score").over(order.rowsBetween(1, WEEK - 1))
+    peak = (F.col("_score") > F.coalesce(before, F.lit(-1.0))) & (F.col("_score") >= F.coalesce(after, F.lit(-1.0)))
+    stepped = gated.withColumn("_step", F.when(peak, F.col("_move")))
+    still = F.coalesce(F.sum("_step").over(order.rowsBetween(1, Window.unboundedFollowing)), F.lit(0.0))
+    return stepped.withColumns({value: F.col(value) + still, "_steps": F.count("_step").over(whole)}).drop(
+        "_d", "_mad", "_level", "_move", "_score", "_step")
+
+
 def _clip_spikes(df: DataFrame, group: list[str], value: str, limit: float = 3.0) -> DataFrame:
     """Bring values back to within ``limit`` scaled median deviations of the median."""
     whole = Window.partitionBy(*group)
@@ -122,14 +152,21 @@ def training_sets(df: DataFrame, keys: Sequence[str], day: str, value: str,
     group = [*keys, "ventana"]
     cut = _windows(df.select(*keys, day, value), day, origins)
     filled = fill_days(cut, [*group, "_cutoff", "_horizon"], day, value).drop("was_missing")
-    adjusted = _remove_holidays(_clip_spikes(filled, group, value), group, day, value)
+    steady = _level_steps(filled, group, day, value)
+    adjusted = _remove_holidays(_clip_spikes(steady, group, value), group, day, value)
     order = Window.partitionBy(*group).orderBy(day)
     diffed = adjusted.withColumn("_z", F.col(value) - F.lag(value, WEEK).over(order))
     return materialise(diffed.withColumn("_z1", F.lag("_z").over(order)), "training")
 
 
 def fit_series(training: DataFrame, keys: Sequence[str], day: str, value: str) -> DataFrame:
-    """One row of coefficients per series and window."""
+    """One row of coefficients per series and window: those of the form with the least AIC.
+
+    The forms are ``z = a + b * z1`` with both, one or neither of ``a`` and ``b`` (``ar1+drift``,
+    ``ar1``, ``ar0+drift``, ``ar0``), all from one set of sums over the same pairs; of equal ones
+    the one with fewer coefficients is taken. ``p`` counts the coefficients, ``steps`` the changes
+    of level that were taken out. The variance is NULL with fewer than three pairs.
+    """
     group = [*keys, "ventana"]
     pair = F.col("_z").isNotNull() & F.col("_z1").isNotNull()
     y, x = F.when(pair, F.col("_z")), F.when(pair, F.col("_z1"))
@@ -137,15 +174,29 @@ def fit_series(training: DataFrame, keys: Sequence[str], day: str, value: str) -
         F.count(y).alias("n"), F.regr_slope(y, x).alias("_slope"), F.avg(y).alias("_my"), F.avg(x).alias("_mx"),
         F.regr_sxx(y, x).alias("_sxx"), F.regr_syy(y, x).alias("_syy"), F.regr_sxy(y, x).alias("_sxy"),
         F.max_by("_z", day).alias("z_last"), F.max(day).alias("last_day"),
-        F.max("_horizon").alias("_horizon"), F.max("_cutoff").alias("_cutoff"), F.max("_holiday").alias("holiday_effect"))
-    slope = F.greatest(F.lit(-0.99), F.least(F.lit(0.99), F.coalesce("_slope", F.lit(0.0))))
-    fitted = sums.withColumn("b", slope).withColumn("a", F.col("_my") - F.col("b") * F.col("_mx"))
-    squares = F.greatest(F.lit(0.0), F.col("_syy") - 2 * F.col("b") * F.col("_sxy")
-                         + F.col("b") * F.col("b") * F.col("_sxx"))
+        F.max("_horizon").alias("_horizon"), F.max("_cutoff").alias("_cutoff"), F.max("_holiday").alias("holiday_effect"),
+        F.max("_steps").alias("steps"))
+    n, my, mx, sxx, syy, sxy = (F.col(c) for c in ("n", "_my", "_mx", "_sxx", "_syy", "_sxy"))
+    about_zero = sxx + n * mx * mx, syy + n * my * my, sxy + n * mx * my
+
+    def bounded(slope: Column) -> Column:
+        return F.greatest(F.lit(-0.99), F.least(F.lit(0.99), F.coalesce(slope, F.lit(0.0))))
+
+    def form(name: str, p: int, a: Column, b: Column, xx: Column, yy: Column, xy: Column) -> Column:
+        sse = F.greatest(F.lit(0.0), yy - 2 * b * xy + b * b * xx)
+        aic = n * F.ln(F.greatest(F.lit(1e-9), F.try_divide(sse, n))) + 2 * p
+        return F.struct(aic.alias("aic"), F.lit(p).alias("p"), F.lit(name).alias("model"), a.alias("a"), b.alias("b"),
+                        sse.alias("sse"))
+
+    zero, slope, through = F.lit(0.0), bounded(F.col("_slope")), bounded(F.try_divide(about_zero[2], about_zero[0]))
+    best = F.array_min(F.array(
+        form("ar0", 0, zero, zero, *about_zero), form("ar0+drift", 1, my, zero, sxx, syy, sxy),
+        form("ar1", 1, zero, through, *about_zero), form("ar1+drift", 2, my - slope * mx, slope, sxx, syy, sxy)))
+    fitted = sums.withColumn("_best", best).select("*", "_best.model", "_best.p", "_best.a", "_best.b", "_best.sse")
     return fitted.withColumns({
         "mu": F.col("a") / (1 - F.col("b")),
-        "sigma2": F.try_divide(squares, F.col("n") - 2),
-    }).drop("_slope", "_my", "_mx", "_sxx", "_syy", "_sxy")
+        "sigma2": F.when(n > 2, F.col("sse") / (n - F.col("p"))),
+    }).drop("_best", "_slope", "_my", "_mx", "_sxx", "_syy", "_sxy", "sse")
 
 
 def forecast(training: DataFrame, fits: DataFrame, keys: Sequence[str], day: str, value: str,
@@ -217,15 +268,15 @@ def forecast_metrics(rolled: DataFrame, by: Sequence[str] = ("ventana",), digits
 
 
 def fit_quality(fits: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Observations, coefficients, variance, log-likelihood and AIC per window.
+    """Observations, chosen form, coefficients, variance, log-likelihood and AIC per window.
 
     The last two are NULL for a series without noise or too short for a variance.
     """
-    n, variance = F.col("n"), F.col("sigma2")
-    likelihood = F.when(variance > 0, -n / 2 * (F.ln(2 * math.pi * variance) + 1))
+    n, p, variance = F.col("n"), F.col("p"), F.col("sigma2")
+    likelihood = F.when(variance > 0, -n / 2 * (F.ln(2 * math.pi * variance * (n - p) / n) + 1))
     return fits.select(
-        *keys, "ventana", "n", "a", "b", F.col("sigma2").alias("variance"),
-        likelihood.alias("log_likelihood"), (2 * 3 - 2 * likelihood).alias("aic"))
+        *keys, "ventana", "n", "model", "a", "b", F.col("sigma2").alias("variance"),
+        likelihood.alias("log_likelihood"), (2 * (p + 1) - 2 * likelihood).alias("aic"))
 
 
 def decompose(df: DataFrame, keys: Sequence[str], day: str, value: str, horizon: int = 30) -> DataFrame:

@@ -196,6 +196,45 @@ def test_short_and_noise_free_series_stay(spark):
     assert series.detect_anomalies(data, ["k"], "day", "n").count() == 65
 
 
+def test_a_lasting_step_is_taken_out_and_the_forecast_stands_on_the_new_level(spark):
+    rows = weekly(150, noise=2.0)
+    moved = [(d, n + (80 if i >= 110 else 0)) for i, (d, n) in enumerate(rows)]
+    origin = [Origin("w", rows[139][0], 10)]
+    fits = [series.fit_series(series.training_sets(frame(spark, x), ["k"], "day", "n", origin), ["k"], "day", "n").first()
+            for x in (rows, moved)]
+    assert [f.steps for f in fits] == [0, 1] and fits[1].sigma2 < 2 * fits[0].sigma2
+    ahead = series.rolling_origin(frame(spark, moved), ["k"], "day", "n", origin).collect()
+    assert max(abs(r.error) for r in ahead if not is_holiday(r.fecha)) < 15
+
+
+def test_spikes_and_noise_are_no_steps(spark):
+    rows = weekly(150, noise=2.0)
+    rows[60] = (rows[60][0], 900.0)
+    training = series.training_sets(frame(spark, rows), ["k"], "day", "n", [Origin("w", series.OPEN_END, 5)])
+    assert series.fit_series(training, ["k"], "day", "n").first().steps == 0
+
+
+def test_each_series_gets_the_form_that_fits_it(spark):
+    rng = np.random.default_rng(4)
+    days = [date(2022, 1, 1) + timedelta(days=i) for i in range(600)]
+    level = 1000.0 + 20 * (np.arange(600) % 7)
+
+    def differences(a, b):
+        z, out = 0.0, level.copy()
+        for i in range(7, 600):
+            z = a + b * z + rng.normal(0, 1)
+            out[i] = out[i - 7] + z
+        return list(zip(days, out.tolist()))
+
+    data = frame(spark, differences(0, 0), "ar0")
+    for name, a, b in (("ar0+drift", 0.5, 0.0), ("ar1", 0.0, 0.6), ("ar1+drift", 0.5, 0.6)):
+        data = data.unionByName(frame(spark, differences(a, b), name))
+    training = series.training_sets(data, ["k"], "day", "n", [Origin("w", series.OPEN_END, 5)])
+    fits = {r.k: r for r in series.fit_series(training, ["k"], "day", "n").collect()}
+    assert fits["ar0+drift"].model.endswith("drift") and fits["ar1+drift"].model == "ar1+drift"
+    assert fits["ar0"].model.startswith("ar0") and fits["ar1"].model.startswith("ar1")
+
+
 def test_explanations_of_rows_that_share_a_key_stay_apart(spark):
     view = spark.createDataFrame([(i % 2, float(i), float(2 * i), "a", "TRAIN" if i % 3 else "EVAL") for i in range(60)],
                                  "key int, x double, fare double, c string, split_set string")

@@ -115,7 +115,7 @@ TRIPS_SQL = f"""{RAW_TRIPS_SQL}, trips AS (
   FROM raw_trips WHERE {RULES_SQL})"""
 ZONES_SQL = """zones AS (
   SELECT TRY_CAST(zone_id AS INTEGER) AS location_id, zone_name AS zone, borough FROM (
-    SELECT CAST(p_partkey % 268 AS VARCHAR) AS zone_id, min(p_name) AS zone_name, min(p_type) AS borough
+    SELECT CAST(p_partkey % 268 AS VARCHAR) AS zone_id, min(p_name) AS zone_name, arg_max(p_type, p_partkey) AS borough
     FROM part GROUP BY 1))"""
 
 
@@ -125,8 +125,8 @@ def trips(spark: SparkSession, sf: str) -> DataFrame:
 
 def zones(spark: SparkSession, sf: str) -> DataFrame:
     catalogue = table(spark, sf, "part").groupBy((F.col("p_partkey") % 268).cast("string").alias("zone_id")).agg(
-        F.min("p_name").alias("zone_name"), F.min("p_type").alias("borough"))
-    return build_zone_dim(catalogue)
+        F.min("p_name").alias("zone_name"), F.max_by("p_type", "p_partkey").alias("borough"))
+    return once(spark, sf, "zones", lambda: materialise(build_zone_dim(catalogue), "zones"))
 
 
 # ---------------------------------------------------------------- flights

@@ -57,10 +57,23 @@ def _model_sql(origins) -> str:
     (SELECT min(d) FROM seen x WHERE x.w = e.w AND x.k = e.k AND x.d >= e.d) AS d1 FROM every e LEFT JOIN seen USING (w, cutoff, horizon, k, d)),
   cut AS (SELECT a.w, a.cutoff, a.horizon, a.k, a.d, CASE WHEN a.n IS NULL THEN p.n + (q.n - p.n) * ((a.d - d0) / (d1 - d0)) ELSE a.n END AS y
     FROM around a JOIN seen p ON p.w = a.w AND p.k = a.k AND p.d = d0 JOIN seen q ON q.w = a.w AND q.k = a.k AND q.d = d1),
-  med AS (SELECT w, k, median(y) AS m FROM cut GROUP BY 1, 2),
-  tol AS (SELECT w, k, m, 3.0 * 1.4826 * median(abs(y - m)) AS t FROM cut JOIN med USING (w, k) GROUP BY 1, 2, 3),
+  dif AS (SELECT *, y - lag(y, 7) OVER (PARTITION BY w, k ORDER BY d) AS dd FROM cut),
+  mid AS (SELECT w, k, median(dd) AS dm, abs(avg(y)) AS lvl FROM dif GROUP BY 1, 2),
+  dev AS (SELECT w, k, dm, lvl, 1.4826 * median(abs(dd - dm)) AS mad FROM dif JOIN mid USING (w, k) GROUP BY 1, 2, 3, 4),
+  seven AS (SELECT w, cutoff, horizon, k, d, y, lvl, mad, CASE WHEN count(dd) OVER f = 7 THEN median(dd - dm) OVER f END AS m7,
+    abs(round(avg(dd - dm) OVER f, 6)) AS a7 FROM dif JOIN dev USING (w, k)
+    WINDOW f AS (PARTITION BY w, k ORDER BY d ROWS BETWEEN CURRENT ROW AND 6 FOLLOWING)),
+  gated AS (SELECT *, CASE WHEN mad > 0 AND abs(m7) > greatest(3.0 * mad, 0.1 * lvl) THEN a7 END AS score FROM seven),
+  stepped AS (SELECT *, CASE WHEN score > coalesce(max(score) OVER (o ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING), -1)
+    AND score >= coalesce(max(score) OVER (o ROWS BETWEEN 1 FOLLOWING AND 6 FOLLOWING), -1) THEN m7 END AS step
+    FROM gated WINDOW o AS (PARTITION BY w, k ORDER BY d)),
+  lifted AS (SELECT w, cutoff, horizon, k, d, step, y + coalesce(sum(step) OVER (
+    PARTITION BY w, k ORDER BY d ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 0) AS y FROM stepped),
+  counted AS (SELECT w, k, count(step) AS steps FROM lifted GROUP BY 1, 2),
+  med AS (SELECT w, k, median(y) AS m FROM lifted GROUP BY 1, 2),
+  tol AS (SELECT w, k, m, 3.0 * 1.4826 * median(abs(y - m)) AS t FROM lifted JOIN med USING (w, k) GROUP BY 1, 2, 3),
   clipped AS (SELECT w, cutoff, horizon, k, d, CASE WHEN t > 0 THEN greatest(m - t, least(m + t, y)) ELSE y END AS y,
-    {_holiday('d')} AS hol FROM cut JOIN tol USING (w, k)),
+    {_holiday('d')} AS hol FROM lifted JOIN tol USING (w, k)),
   usual AS (SELECT w, k, isodow(d) AS wd, avg(y) AS u FROM clipped WHERE NOT hol GROUP BY 1, 2, 3),
   effect AS (SELECT c.w, c.k, avg(y - u) AS e FROM clipped c JOIN usual s ON s.w = c.w AND s.k = c.k AND s.wd = isodow(d)
     WHERE hol GROUP BY 1, 2),
@@ -72,9 +85,17 @@ def _model_sql(origins) -> str:
     avg(z) FILTER (WHERE z1 IS NOT NULL) AS my, avg(z1) FILTER (WHERE z IS NOT NULL) AS mx, regr_sxx(z, z1) AS sxx,
     regr_syy(z, z1) AS syy, regr_sxy(z, z1) AS sxy, arg_max(z, d) AS z_last, max(d) AS last_day, max(horizon) AS horizon, max(cutoff) AS cutoff,
     max(e) AS e FROM paired GROUP BY 1, 2),
-  fits AS (SELECT *, my - b * mx AS a, (my - b * mx) / (1 - b) AS mu, greatest(0, syy - 2 * b * sxy + b * b * sxx) / (n - 2) AS sigma2
-    , CASE WHEN cutoff < DATE '9999-12-31' THEN cutoff - last_day ELSE 0 END AS gap
-    FROM (SELECT *, greatest(-0.99, least(0.99, coalesce(slope, 0))) AS b FROM sums))"""
+  slopes AS (SELECT *, greatest(-0.99, least(0.99, coalesce(slope, 0))) AS b1,
+    greatest(-0.99, least(0.99, coalesce((sxy + n * mx * my) / nullif(sxx + n * mx * mx, 0), 0))) AS b0 FROM sums),
+  forms AS (SELECT w, k, n, 'ar0' AS model, 0 AS p, 0.0::DOUBLE AS a, 0.0::DOUBLE AS b, syy + n * my * my AS sse FROM slopes
+    UNION ALL SELECT w, k, n, 'ar0+drift', 1, my, 0.0, syy FROM slopes
+    UNION ALL SELECT w, k, n, 'ar1', 1, 0.0, b0, syy + n * my * my - 2 * b0 * (sxy + n * mx * my) + b0 * b0 * (sxx + n * mx * mx) FROM slopes
+    UNION ALL SELECT w, k, n, 'ar1+drift', 2, my - b1 * mx, b1, syy - 2 * b1 * sxy + b1 * b1 * sxx FROM slopes),
+  best AS (SELECT w, k, model, p, a, b, greatest(0, sse) AS sse FROM forms
+    QUALIFY row_number() OVER (PARTITION BY w, k ORDER BY n * ln(greatest(1e-9, sse / n)) + 2 * p, p, model) = 1),
+  fits AS (SELECT *, a / (1 - b) AS mu, sse / (n - p) AS sigma2,
+    CASE WHEN cutoff < DATE '9999-12-31' THEN cutoff - last_day ELSE 0 END AS gap
+    FROM sums JOIN best USING (w, k) JOIN counted USING (w, k))"""
 
 
 _Z = series.normal_quantile(0.95)
@@ -110,12 +131,12 @@ def _z0(expression: str, digits: int) -> str:
     return f"CASE WHEN round({expression}, {digits}) = 0 THEN 0.0 ELSE round({expression}, {digits}) END"
 
 
-@query("m01_fit_series", f"""WITH {_model_sql(ORIGINS)} SELECT k AS o_orderpriority, w AS ventana, n, {_z0('a', 4)} AS a,
+@query("m01_fit_series", f"""WITH {_model_sql(ORIGINS)} SELECT k AS o_orderpriority, w AS ventana, n, model, steps, {_z0('a', 4)} AS a,
     {_z0('b', 4)} AS b, {_z0('mu', 4)} AS mu, {_z0('sigma2', 4)} AS sigma2, last_day, {_z0('e', 4)} AS holiday_effect FROM fits""")
 def m01(spark, sf):
     fits = series.fit_series(_training(spark, sf), KEYS, DAY, VALUE)
     numbers = ("a", "b", "mu", "sigma2", "holiday_effect")
-    return _plain(fits.select("o_orderpriority", "ventana", "n", "last_day", *numbers), dict.fromkeys(numbers, 4))
+    return _plain(fits.select("o_orderpriority", "ventana", "n", "model", "steps", "last_day", *numbers), dict.fromkeys(numbers, 4))
 
 
 @query("m02_forecast", f"""WITH {_model_sql([LAST])}, {_FORECAST_SQL} SELECT k AS o_orderpriority, w AS ventana, target AS day,
@@ -145,9 +166,9 @@ def m05(spark, sf):
     return series.forecast_metrics(rolled)
 
 
-@query("m06_fit_quality", f"""WITH {_model_sql(ORIGINS)} SELECT k AS o_orderpriority, w AS ventana, n, {_z0('a', 4)} AS a, {_z0('b', 4)} AS b,
-    {_z0('sigma2', 4)} AS variance, CASE WHEN sigma2 > 0 THEN round(-n / 2 * (ln(2 * pi() * sigma2) + 1), 3) END AS log_likelihood,
-    CASE WHEN sigma2 > 0 THEN round(6 + n * (ln(2 * pi() * sigma2) + 1), 3) END AS aic FROM fits""")
+@query("m06_fit_quality", f"""WITH {_model_sql(ORIGINS)} SELECT k AS o_orderpriority, w AS ventana, n, model, {_z0('a', 4)} AS a, {_z0('b', 4)} AS b,
+    {_z0('sigma2', 4)} AS variance, CASE WHEN sse > 0 THEN round(-n / 2 * (ln(2 * pi() * sse / n) + 1), 3) END AS log_likelihood,
+    CASE WHEN sse > 0 THEN round(2 * (p + 1) + n * (ln(2 * pi() * sse / n) + 1), 3) END AS aic FROM fits""")
 def m06(spark, sf):
     quality = series.fit_quality(series.fit_series(_training(spark, sf), KEYS, DAY, VALUE), KEYS)
     return _plain(quality, {"a": 4, "b": 4, "variance": 4, "log_likelihood": 3, "aic": 3})
