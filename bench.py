@@ -1,8 +1,8 @@
 """Time the headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS] and print one JSON line.
 
 Joins, loads and fits are timed as such; no headline query reads a result written before. The
-layout queries run on the plain and on the partitioned trips: the median of three warm runs,
-and the bytes of the files left after pruning. The flights load runs from raw orders to the
+layout queries run on the plain and on the partitioned trips, N5 with all and with two columns of
+a day: the median of three warm runs, and the column bytes in the files left after pruning. The flights load runs from raw orders to the
 written fact and also gives rows per second.
 """
 
@@ -16,7 +16,7 @@ import time
 
 from cauce.operators import models
 from cauce.operators.series import rolling_origin
-from cauce.plans import flights, layout
+from cauce.plans import flights
 from cauce.session import build_session
 from cauce.sources.scratch import new_path
 from cauce.sources.tables import load_idempotent
@@ -45,16 +45,12 @@ def drain(df) -> None:
 
 
 def layout_runs(spark, sf: str) -> tuple[dict[str, float], dict[str, dict]]:
-    periods = {"n01_month_daily": forecasting.MARCH, "n02_quarter_zones": forecasting.SUMMER,
-               "n03_zone_destinations": forecasting.SEPTEMBER, "n04_weekday_hours": forecasting.WINTER,
-               "n05_day_two_columns": (forecasting.JULY_DAY, forecasting.JULY_DAY)}
-    plain, monthly = forecasting.plain_trips(spark, sf), forecasting.partitioned_trips(spark, sf)
-    whole = layout.scanned_bytes(plain)
     times, sizes = {}, {}
-    for name, run in forecasting.BENCHMARK.items():
-        times[f"{name}_plain"] = seconds(lambda: drain(run(plain)))
-        times[name] = seconds(lambda: drain(run(monthly)))
-        left = layout.scanned_bytes(layout.between_days(monthly, *periods[name]))
+    for name in forecasting.BENCHMARK:
+        plain, monthly = forecasting.benchmark_pair(spark, sf, name)
+        times[f"{name}_plain"] = seconds(lambda: drain(plain()))
+        times[name] = seconds(lambda: drain(monthly()))
+        whole, left = forecasting.bytes_read(spark, sf, name)
         sizes[name] = {"bytes_plain": whole, "bytes_partitioned": left,
                        "reduction_pct": round(100 * (1 - left / whole), 2)}
     return times, sizes

@@ -136,6 +136,9 @@ def test_partition_inventory_and_bytes(spark, tmp_path):
     assert (facts.n_partitions, facts.first_partition) == (60, date(2022, 3, 1))
     some = layout.between_days(trips, date(2022, 3, 1), date(2022, 3, 3))
     assert 0 < layout.scanned_bytes(some) < layout.scanned_bytes(trips) / 10
+    parts = [layout.scanned_bytes(some, [c]) for c in trips.columns]
+    assert sum(parts) == layout.scanned_bytes(some) and layout.scanned_bytes(some, ["pickup_date"]) == 0
+    assert layout.scanned_bytes(trips.where("false")) == 0
 
 
 def test_rows_of_one_hot_day_spread_over_files(spark, tmp_path):
