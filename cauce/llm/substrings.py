@@ -168,12 +168,14 @@ def _spans(keyed: DataFrame, window: int) -> DataFrame:
     single = materialise(blocks.join(first, ["did", "anchor", "block"]).select(
         "did", "th", "start", "anchor", "windows"), "single")
     windows = single.select("did", "th", "start", "anchor", F.posexplode("windows").alias("k", "w"))
-    least = windows.groupBy("anchor", "w").agg(F.min("did").alias("lo"), F.max("did").alias("hi")).filter("lo < hi")
+    # written, so that the join below is between two plain shuffles, whose hot windows can be split
+    least = materialise(windows.groupBy("anchor", "w").agg(
+        F.min("did").alias("lo"), F.max("did").alias("hi")).filter("lo < hi"), "least")
     partly = windows.join(least, ["anchor", "w"]).filter("did > lo").select(
         "did", "th", (F.col("start") + F.col("k")).alias("s"), (F.col("start") + F.col("k")).alias("e"))
     spans = materialise(whole.unionByName(partly).groupBy("did", "th").agg(
         F.collect_list(F.struct("s", "e")).alias("spans")), "spans")
-    for done in (blocks, owners, single):
+    for done in (blocks, owners, single, least):
         release(done)
     return spans
 
