@@ -37,6 +37,8 @@ _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0-9A-Fa-f]{2})+")
 _ONE_UNICODE = re.compile(r"\\u\{([0-9A-Fa-f]+)\}|\\[ux]([0-9A-Fa-f]+)")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: The next line of a wrapped run.
+_LINE = re.compile(r"[ \t]*\r?\n[ \t]*([A-Za-z0-9+/_-]+={0,2})")
 #: A layer that inflates to more bytes than this is not unwrapped further, and counted as ``oversized``.
 LAYER_BYTES = 16 << 20
 
@@ -191,26 +193,58 @@ def _content(run: str) -> tuple[str | None, str, bool]:
     return None, path, False
 
 
+def _lines(text: str, first: re.Match) -> list[tuple[int, int]]:
+    """Places of the lines over which a run goes on: each but the last is as wide as the widest."""
+    lines = [first.span()]
+    inside = first.start() > 0 and text[first.start() - 1] not in "\n\t "
+    width = len(first[0])
+    while text[lines[-1][1] - 1] != "=" and (m := _LINE.match(text, lines[-1][1])):
+        n = m.end(1) - m.start(1)
+        if n > width and (len(lines) > 1 or not inside):
+            break
+        lines.append(m.span(1))
+        if n < width:
+            break
+        width = n
+    return lines
+
+
 def _base64(layer: Layer) -> tuple[list[Layer], int]:
-    out, oversized = [], 0
+    out, oversized, done = [], 0, 0
+
+    def take(start: int, end: int, run: str) -> bool:
+        nonlocal oversized
+        text, path, large = _content(run)
+        oversized += large
+        if text is not None:
+            first, last = layer.origin(start, end)
+            out.append(Layer(text, [0], [first], [last - first], layer.path + path))
+        return text is not None
+
     for m in _BASE64.finditer(layer.text):
-        pieces = [(m.start(), m[0])]
-        while pieces:
-            start, run = pieces.pop()
-            text, path, large = _content(run)
-            oversized += large
-            if text is not None:
-                first, last = layer.origin(start, start + len(run))
-                out.append(Layer(text, [0], [first], [last - first], layer.path + path))
-            elif start == m.start() and len(run) == len(m[0]):
-                pieces += [(start + x.start(), x[0]) for x in re.finditer(r"[A-Za-z0-9]{16,}={0,2}", run) if x[0] != run]
+        if m.start() < done:
+            continue
+        lines = _lines(layer.text, m)
+        joined = False
+        for n in range(len(lines), max(1, len(lines) - 2), -1):  # a word may follow on the next line
+            joined = joined or take(lines[0][0], lines[n - 1][1], "".join(layer.text[a:b] for a, b in lines[:n]))
+        if joined and len(lines) > 2:
+            done = lines[-2][1]
+            continue
+        for start, end in lines[:-1] or lines:
+            run = layer.text[start:end]
+            if not take(start, end, run):
+                for x in re.finditer(r"[A-Za-z0-9]{16,}={0,2}", run):
+                    if x[0] != run:
+                        take(start + x.start(), start + x.end(), x[0])
+        done = (lines[:-1] or lines)[-1][1]
     return out, oversized
 
 
 def scan(text: str) -> tuple[list[Span], list[tuple[Span, str]], int]:
     """Spans of the text itself, further spans found in layers with the path to each, and how many layers were too large."""
     base = sorted(Span(*x) for x in find(text))
-    seen_spans, more, oversized = set(base), [], 0
+    seen_spans, more, oversized = set(base), {}, 0
     work = [Layer(text, [0], [0], [0], "")]
     seen = {(text, 0, len(text))} if text else set()
     while work and text:
@@ -221,7 +255,7 @@ def scan(text: str) -> tuple[list[Span], list[tuple[Span, str]], int]:
                 span = Span(first, kind, last)
                 if span not in seen_spans:
                     seen_spans.add(span)
-                    more.append((span, layer.path[1:]))
+                    more[span] = layer.path[1:], layer.text[start:end]
         inner, large = _base64(layer)
         oversized += large
         for child in (_percent(layer), _unicode(layer), *inner):
@@ -229,8 +263,22 @@ def scan(text: str) -> tuple[list[Span], list[tuple[Span, str]], int]:
                     mark := (child.text, *child.origin(0, len(child.text)))) not in seen:
                 seen.add(mark)
                 work.append(child)
-    return base, sorted(more), oversized
-
+    return base, _narrowest(more), oversized
+
+
+def _narrowest(found: dict[Span, tuple[str, str]]) -> list[tuple[Span, str]]:
+    """Without the spans of joined lines in which a part alone gives the same secret."""
+    same: dict[tuple[int, str], list[Span]] = {}
+    for span, (_, secret) in found.items():
+        same.setdefault((span.kind, secret), []).append(span)
+    kept = []
+    for spans in same.values():
+        least = None  # the end of the narrowest of those that start at or after
+        for span in sorted(spans, key=lambda x: (-x.start, x.end)):
+            if least is None or span.end < least:
+                kept.append((span, found[span][0]))
+                least = span.end
+    return sorted(kept)
 
 
 _SPAN = "array<struct<kind: string, start: long, end: long, layer: string>>"

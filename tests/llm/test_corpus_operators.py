@@ -150,6 +150,28 @@ def test_redaction_leaves_the_rest(spark):
     assert [r.text for r in secrets.redact_secrets(docs).orderBy("doc_id").collect()] == ["a [secret] b", "clean", None, "x [secret] y"]
 
 
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n    "])
+def test_secrets_in_wrapped_base64_are_found(end):
+    def wrapped(data):
+        return end.join(re.findall(".{1,76}", b64(data)))
+
+    for before in range(57):
+        hidden = wrapped(b"." * before + SECRET.encode() + b" and further words of the text" * 3)
+        text = f"é before\n{hidden}\nafter"
+        base, more, _ = secrets.scan(text)
+        assert not base and [s.kind for s, _ in more] == [0]
+        assert text.index(hidden) <= more[0][0].start and more[0][0].end <= text.index(hidden) + len(hidden)
+    r = random.Random(1)
+    noise = " ".join(str(r.random()) for _ in range(200))
+    hidden = wrapped(gzip.compress(f"{noise} {SECRET} {noise}".encode()))
+    text = f"before\n{hidden}\nafter"
+    (span, path), = secrets.scan(text)[1]
+    assert path == "base64>gzip" and text[span.start:span.end].startswith(hidden)
+    alone = b64(SECRET.encode())
+    (span, _), = secrets.scan(f"{alone}\nafter it")[1]
+    assert (span.start, span.end) == (0, len(alone))
+
+
 # --- tokens --------------------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
