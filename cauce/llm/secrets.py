@@ -115,11 +115,13 @@ def _percent(layer: Layer) -> Layer | None:
         return None
     runs = []
     for m in _PERCENT.finditer(layer.text):
-        try:
-            decoded = bytes.fromhex(m[0].replace("%", "")).decode()
-        except UnicodeDecodeError:
-            continue
-        runs.append((m.start(), [(c, 3 * len(c.encode())) for c in decoded]))
+        characters = []
+        for c in bytes.fromhex(m[0].replace("%", "")).decode(errors="surrogateescape"):
+            if 0xDC80 <= ord(c) < 0xDD00:  # no UTF-8: stays escaped
+                characters += [(x, 1) for x in f"%{ord(c) - 0xDC00:02X}"]
+            else:
+                characters.append((c, 3 * len(c.encode())))
+        runs.append((m.start(), characters))
     return _replaced(layer, runs, layer.path + ">url")
 
 
@@ -159,6 +161,7 @@ def inflate(data: bytes, limit: int = LAYER_BYTES) -> tuple[bytes, str] | None:
 
 
 def _readable(data: bytes) -> str | None:
+    """The text if it is one; bytes that are none are scanned too, but other readings of their run are tried as well."""
     try:
         text = data.decode()
     except UnicodeDecodeError:
@@ -177,20 +180,31 @@ def _unbase64(run: str) -> bytes | None:
         return None
 
 
-def _content(run: str) -> tuple[str | None, str, bool]:
-    """Readable text inside a base64 run, the path to it, and whether a form was too large."""
+def _texts(data: bytes) -> list[tuple[str, str]]:
+    """What the bytes may say, with the step of the path: UTF-8, else one character a byte; with NULs also UTF-16."""
+    try:
+        out = [(data.decode(), "")]
+    except UnicodeDecodeError:
+        out = [(data.decode("latin-1"), "")]
+    if b"\0" in data:
+        out += [(data[k:].decode(form, "replace"), ">utf16") for form in ("utf-16-le", "utf-16-be") for k in (0, 1)]
+    return out
+
+
+def _content(run: str) -> tuple[list[tuple[str, str]], bool, bool]:
+    """Texts inside a base64 run with the path to each, whether it is meant as one run, and whether a form was too large."""
     data = _unbase64(run)
     path = ">base64"
     while data is not None:
         inner = inflate(data)
         if inner is None:
-            return _readable(data), path, False
+            return [(text, path + step) for text, step in _texts(data)], _readable(data) is not None or path != ">base64", False
         if len(inner[0]) > LAYER_BYTES:
-            return None, path, True
+            return [], False, True
         if inner[0] == data:
-            return None, path, False
+            return [], False, False
         data, path = inner[0], f"{path}>{inner[1]}"
-    return None, path, False
+    return [], False, False
 
 
 def _lines(text: str, first: re.Match) -> list[tuple[int, int]]:
@@ -214,12 +228,11 @@ def _base64(layer: Layer) -> tuple[list[Layer], int]:
 
     def take(start: int, end: int, run: str) -> bool:
         nonlocal oversized
-        text, path, large = _content(run)
+        texts, meant, large = _content(run)
         oversized += large
-        if text is not None:
-            first, last = layer.origin(start, end)
-            out.append(Layer(text, [0], [first], [last - first], layer.path + path))
-        return text is not None
+        first, last = layer.origin(start, end)
+        out.extend(Layer(text, [0], [first], [last - first], layer.path + path) for text, path in texts)
+        return meant
 
     for m in _BASE64.finditer(layer.text):
         if m.start() < done:

@@ -172,6 +172,23 @@ def test_secrets_in_wrapped_base64_are_found(end):
     assert (span.start, span.end) == (0, len(alone))
 
 
+@pytest.mark.parametrize("data", [
+    f"caf\xe9 {SECRET} ".encode("latin-1"), SECRET.encode("utf-16-le"), f"漢 {SECRET}".encode("utf-16"), f"é {SECRET}".encode("utf-16-be"),
+    bytes(range(256)) * 3 + SECRET.encode() + b"\n" + bytes(700), gzip.compress(f"\xff {SECRET}".encode("latin-1")),
+])
+def test_secrets_in_bytes_that_are_no_utf8_are_found(data):
+    text = f"before {b64(data)} after"
+    spans = {s for s, _ in secrets.scan(text)[1]}
+    assert [7 <= s.start and s.end <= len(text) - 6 for s in spans if s.kind == 0] == [True]
+
+
+def test_only_invalid_escapes_stay_escaped():
+    hidden = "".join(f"%{c:02X}" for c in SECRET.encode())
+    for text in (f"%FF{hidden}", f"{hidden}%E9%20end", f"%C3%A9%FF{hidden}%FE"):
+        spans = [s for s, _ in secrets.scan(text)[1]]
+        assert [text[s.start:s.end] for s in spans] == [hidden]
+
+
 # --- tokens --------------------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
