@@ -12,11 +12,13 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import hashlib
+import itertools
 import lzma
 import re
 import zlib
 from bisect import bisect_right
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Generator, Iterable, Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -39,7 +41,8 @@ _ONE_UNICODE = re.compile(r"\\u\{([0-9A-Fa-f]+)\}|\\[ux]([0-9A-Fa-f]+)")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 #: The next line of a wrapped run.
 _LINE = re.compile(r"[ \t]*\r?\n[ \t]*([A-Za-z0-9+/_-]+={0,2})")
-#: A layer that inflates to more bytes than this is not unwrapped further, and counted as ``oversized``.
+#: A layer that inflates to more bytes than this is scanned in pieces of this size, each half over the one before, and
+#: counted as ``oversized``: only a run longer than half a piece can be broken there.
 LAYER_BYTES = 16 << 20
 
 
@@ -142,22 +145,84 @@ def _unicode(layer: Layer) -> Layer | None:
     return _replaced(layer, runs, layer.path + ">unicode")
 
 
-def inflate(data: bytes, limit: int = LAYER_BYTES) -> tuple[bytes, str] | None:
-    """Content of gzip, zlib, bzip2 or xz bytes and the name of the form; None if it is none of them."""
+def _form(data: bytes) -> tuple[Callable, str] | None:
+    """Decompressor and name of gzip, zlib, bzip2 or xz bytes; None if they are none of them."""
     if data[:2] == b"\x1f\x8b":
-        make, name = (lambda: zlib.decompressobj(31)), "gzip"
-    elif data[:3] == b"BZh":
-        make, name = bz2.BZ2Decompressor, "bzip2"
-    elif data[:6] == b"\xfd7zXZ\x00":
-        make, name = lzma.LZMADecompressor, "xz"
-    elif len(data) > 2 and data[0] & 15 == 8 and not (data[0] << 8 | data[1]) % 31:
-        make, name = zlib.decompressobj, "zlib"
-    else:
-        return None
-    try:
-        return make().decompress(data, limit + 1), name
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
-        return None
+        return lambda: zlib.decompressobj(31), "gzip"
+    if data[:3] == b"BZh":
+        return bz2.BZ2Decompressor, "bzip2"
+    if data[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor, "xz"
+    if len(data) > 2 and data[0] & 15 == 8 and not (data[0] << 8 | data[1]) % 31:
+        return zlib.decompressobj, "zlib"
+    return None
+
+
+class _Inflated:
+    """Content of a stream in parts, its further members of the same form included; then ``rest`` is what follows it."""
+
+    def __init__(self, parts: Iterator[bytes], make: Callable, name: str):
+        self.parts, self.make, self.name, self.rest, self.ended = parts, make, name, b"", False
+
+    def __iter__(self) -> Iterator[bytes]:
+        d, feed, fed = self.make(), next(self.parts, b""), b""
+        while True:
+            fed = feed or fed
+            try:
+                part = d.decompress(feed, LAYER_BYTES)
+            except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
+                self.rest, self.ended = fed, False
+                return
+            if part:
+                yield part
+            if d.eof:
+                self.ended = True
+                feed = d.unused_data
+                while len(feed) < 6 and (more := next(self.parts, b"")):
+                    feed += more
+                if (form := _form(feed)) is None or form[1] != self.name:
+                    self.rest = feed
+                    return
+                d = self.make()
+                continue
+            feed = getattr(d, "unconsumed_tail", b"")
+            if not part and not feed and not (feed := next(self.parts, b"")):
+                return
+
+
+def _opened(data: bytes, path: str) -> Iterator[tuple[bytes, str, bool, bool]]:
+    """Bytes inside ``data`` that are not compressed, with their path, whether all of their forms ended well, and
+    whether they are the first piece of more than ``LAYER_BYTES``."""
+    work = [(iter([data]), path, frozenset(), True)]
+    while work:
+        parts, path, known, well = work.pop()
+        piece = next(parts, b"")
+        mark, form = hashlib.blake2b(piece).digest(), _form(piece)
+        if form is not None and mark not in known:
+            inner = _Inflated(itertools.chain([piece], parts), *form)
+            known |= {mark}
+
+            def after(inner=inner, parts=parts):
+                if inner.rest:
+                    yield inner.rest
+                    yield from parts
+
+            content = iter(inner)
+            first = list(itertools.islice(content, 2))
+            work.append((after(), path, known, False))
+            if first:
+                if len(first) == 1:
+                    content = iter(())
+                work.append((itertools.chain(first, content), f"{path}>{form[1]}", known, well and (len(first) > 1 or inner.ended)))
+            continue
+        large = False
+        for part in parts:
+            piece += part
+            while len(piece) > LAYER_BYTES:
+                yield piece[:LAYER_BYTES], path, well, not large
+                piece, large = piece[LAYER_BYTES // 2:], True
+        if piece:
+            yield piece, path, well, False
 
 
 def _readable(data: bytes) -> str | None:
@@ -191,22 +256,6 @@ def _texts(data: bytes) -> list[tuple[str, str]]:
     return out
 
 
-def _content(run: str) -> tuple[list[tuple[str, str]], bool, bool]:
-    """Texts inside a base64 run with the path to each, whether it is meant as one run, and whether a form was too large."""
-    data = _unbase64(run)
-    path = ">base64"
-    while data is not None:
-        inner = inflate(data)
-        if inner is None:
-            return [(text, path + step) for text, step in _texts(data)], _readable(data) is not None or path != ">base64", False
-        if len(inner[0]) > LAYER_BYTES:
-            return [], False, True
-        if inner[0] == data:
-            return [], False, False
-        data, path = inner[0], f"{path}>{inner[1]}"
-    return [], False, False
-
-
 def _lines(text: str, first: re.Match) -> list[tuple[int, int]]:
     """Places of the lines over which a run goes on: each but the last is as wide as the widest."""
     lines = [first.span()]
@@ -223,15 +272,19 @@ def _lines(text: str, first: re.Match) -> list[tuple[int, int]]:
     return lines
 
 
-def _base64(layer: Layer) -> tuple[list[Layer], int]:
-    out, oversized, done = [], 0, 0
+def _base64(layer: Layer, oversized: list[int]) -> Iterator[Layer]:
+    """Layers of the base64 runs, made as they are asked for; the large ones are counted."""
+    done = 0
 
-    def take(start: int, end: int, run: str) -> bool:
-        nonlocal oversized
-        texts, meant, large = _content(run)
-        oversized += large
+    def take(start: int, end: int, run: str) -> Generator[Layer, None, bool]:
+        """The layers of a run; whether it is meant as one run."""
+        data, meant = _unbase64(run), False
         first, last = layer.origin(start, end)
-        out.extend(Layer(text, [0], [first], [last - first], layer.path + path) for text, path in texts)
+        for piece, path, well, large in _opened(data, ">base64") if data else ():
+            meant |= well and (path != ">base64" or _readable(piece) is not None)
+            oversized[0] += large
+            for text, step in _texts(piece):
+                yield Layer(text, [0], [first], [last - first], layer.path + path + step)
         return meant
 
     for m in _BASE64.finditer(layer.text):
@@ -240,28 +293,41 @@ def _base64(layer: Layer) -> tuple[list[Layer], int]:
         lines = _lines(layer.text, m)
         joined = False
         for n in range(len(lines), max(1, len(lines) - 2), -1):  # a word may follow on the next line
-            joined = joined or take(lines[0][0], lines[n - 1][1], "".join(layer.text[a:b] for a, b in lines[:n]))
+            joined = joined or (yield from take(lines[0][0], lines[n - 1][1], "".join(layer.text[a:b] for a, b in lines[:n])))
         if joined and len(lines) > 2:
             done = lines[-2][1]
             continue
         for start, end in lines[:-1] or lines:
             run = layer.text[start:end]
-            if not take(start, end, run):
+            if not (yield from take(start, end, run)):
                 for x in re.finditer(r"[A-Za-z0-9]{16,}={0,2}", run):
                     if x[0] != run:
-                        take(start + x.start(), start + x.end(), x[0])
+                        yield from take(start + x.start(), start + x.end(), x[0])
         done = (lines[:-1] or lines)[-1][1]
-    return out, oversized
+
+
+def _mark(layer: Layer) -> tuple:
+    """What tells layers apart: content and place."""
+    text = layer.text
+    if len(text) > 1 << 12:
+        text = hashlib.blake2b(text.encode(errors="surrogatepass")).digest()
+    return (text, *layer.origin(0, len(layer.text)))
 
 
 def scan(text: str) -> tuple[list[Span], list[tuple[Span, str]], int]:
     """Spans of the text itself, further spans found in layers with the path to each, and how many layers were too large."""
     base = sorted(Span(*x) for x in find(text))
-    seen_spans, more, oversized = set(base), {}, 0
-    work = [Layer(text, [0], [0], [0], "")]
-    seen = {(text, 0, len(text))} if text else set()
-    while work and text:
-        layer = work.pop()
+    seen_spans, more, oversized = set(base), {}, [0]
+    seen: set[tuple] = set()
+    work = [iter([Layer(text, [0], [0], [0], "")])]
+    while work:
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+            continue
+        if not layer.text or (mark := _mark(layer)) in seen:
+            continue
+        seen.add(mark)
         if layer.path:
             for start, kind, end in find(layer.text):
                 first, last = layer.origin(start, end)
@@ -269,14 +335,9 @@ def scan(text: str) -> tuple[list[Span], list[tuple[Span, str]], int]:
                 if span not in seen_spans:
                     seen_spans.add(span)
                     more[span] = layer.path[1:], layer.text[start:end]
-        inner, large = _base64(layer)
-        oversized += large
-        for child in (_percent(layer), _unicode(layer), *inner):
-            if child is not None and child.text and (
-                    mark := (child.text, *child.origin(0, len(child.text)))) not in seen:
-                seen.add(mark)
-                work.append(child)
-    return base, _narrowest(more), oversized
+        whole = [x for x in (_percent(layer), _unicode(layer)) if x is not None]
+        work.append(itertools.chain(whole, _base64(layer, oversized)))
+    return base, _narrowest(more), oversized[0]
 
 
 def _narrowest(found: dict[Span, tuple[str, str]]) -> list[tuple[Span, str]]:
@@ -298,26 +359,30 @@ _SPAN = "array<struct<kind: string, start: long, end: long, layer: string>>"
 
 
 def scan_secrets(docs: DataFrame, text: str = "text", out: str = "secrets") -> DataFrame:
-    """Add ``out``: ``array<struct<kind, start, end, layer>>`` ordered by start, kind and end.
+    """Add ``out``: ``array<struct<kind, start, end, layer>>`` ordered by start, kind and end, and ``out``_oversized.
 
     Spans are of code points of the whole text, end exclusive. ``layer`` is empty for a secret that
     stands there as it is, else the encodings to take off (``url>base64``), and the span is then the
-    encoded stretch. All other columns stay as they are; one named ``out`` is replaced. NULL and
-    empty texts have no span. Repeated rows are scanned alike; an empty table stays empty. Each text
-    is scanned whole; only a layer that inflates beyond ``LAYER_BYTES`` is not opened.
+    encoded stretch. All other columns stay as they are; those named as the new ones are replaced. NULL
+    and empty texts have no span. Repeated rows are scanned alike; an empty table stays empty. Each text
+    is scanned whole; ``out``_oversized counts its layers of more than ``LAYER_BYTES``, which are
+    scanned in pieces.
     """
-    kept = [c for c in docs.columns if c != out]
-    schema = docs.select(*kept).withColumn(out, F.lit(None).cast(_SPAN)).schema
+    large = f"{out}_oversized"
+    kept = [c for c in docs.columns if c not in (out, large)]
+    schema = docs.select(*kept).withColumn(out, F.lit(None).cast(_SPAN)).withColumn(large, F.lit(None).cast("long")).schema
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("layer", pa.string())]))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, text):
-            found = []
+            found, counts = [], []
             for value in part.column(text).to_pylist():
-                base, more, _ = scan(value or "")
+                base, more, oversized = scan(value or "")
+                counts.append(oversized)
                 rows = sorted([*((s, "") for s in base), *more])
                 found.append([{"kind": KINDS[s.kind], "start": s.start, "end": s.end, "layer": path} for s, path in rows])
-            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], pa.array(found, kind)], [*kept, out])
+            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], pa.array(found, kind), pa.array(counts, pa.int64())],
+                                             [*kept, out, large])
 
     return docs.select(*kept).mapInArrow(run, schema)
 
@@ -358,4 +423,4 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
 
     return found.select("doc_id", *[count(k) for k in KINDS], F.sha2(joined(base), 256).alias("base_sha256"),
-                        joined(F.col("secrets")).alias("spans"))
+                        joined(F.col("secrets")).alias("spans"), F.col("secrets_oversized").alias("n_oversized"))

@@ -189,6 +189,24 @@ def test_only_invalid_escapes_stay_escaped():
         assert [text[s.start:s.end] for s in spans] == [hidden]
 
 
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress])
+def test_large_layers_and_all_members_are_scanned(spark, monkeypatch, pack):
+    r = random.Random(3)
+    for at in (0, 400, 980, 1490, 4000):
+        monkeypatch.setattr(secrets, "LAYER_BYTES", 1000)
+        noise = "".join(r.choice("., ;") for _ in range(5000))
+        data = f"{noise[:at]} {SECRET} {noise[at:]}".encode()
+        for hidden in (b64(pack(data)), b64(pack(pack(data)))):
+            base, more, large = secrets.scan(hidden)
+            assert [s for s, _ in more] == [(0, 0, len(hidden))] and large == 1
+    monkeypatch.undo()
+    for second in (pack(SECRET.encode()), f" {SECRET}".encode(), bz2.compress(SECRET.encode())):
+        hidden = b64(pack(b"first words") + second)
+        assert {s.kind for s, _ in secrets.scan(hidden)[1]} == {0}
+    docs = spark.createDataFrame([(1, b64(gzip.compress(bytes(17 << 20)))), (2, "clean")], "doc_id long, text string")
+    assert [x.secrets_oversized > 0 for x in secrets.scan_secrets(docs).orderBy("doc_id").collect()] == [True, False]
+
+
 # --- tokens --------------------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
