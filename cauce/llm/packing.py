@@ -27,8 +27,6 @@ WINDOW = 1024
 END = 0
 #: Rests and tokens of one shard: what bounds its index in memory.
 SHARD_DOCS, SHARD_TOKENS = 2048, 1 << 20
-#: A seed asks with its rarest terms, and with each once.
-QUERY_TERMS = 24
 K1, B = 1.2, 0.75
 
 _ENCODED = ("doc_id long, doc_tokens long, crcs array<long>, rest binary, "
@@ -87,7 +85,7 @@ class _Shard:
     """Inverted index over the rests of one shard, and what of each is left."""
 
     def __init__(self, rows: list[tuple], idf: np.ndarray, mean: float):
-        self.rows, self.idf = rows, idf
+        self.rows = rows
         self.ids = [r[2] for r in rows]
         size = np.array([len(x) for x in self.ids])
         self.begin = np.array([r[3] for r in rows])  # taken so far, as a window may go on from the last shard
@@ -101,11 +99,8 @@ class _Shard:
         self.term, self.at = term[self.at], np.append(self.at, len(term))
 
     def ranked(self, seed: int) -> tuple[np.ndarray, np.ndarray]:
-        """Unused rests by falling score for the seed's rarest terms, ties and others in order."""
-        terms = distinct(self.ids[seed])
-        if len(terms) > QUERY_TERMS:
-            terms = terms[np.argpartition(self.idf[terms], -QUERY_TERMS)[-QUERY_TERMS:]]
-        place = np.searchsorted(self.term, np.sort(terms))
+        """Unused rests by falling score for all of the seed's terms, each asked once, ties and others in order."""
+        place = np.searchsorted(self.term, distinct(self.ids[seed]))
         spans = [slice(a, b) for a, b in zip(self.at[place].tolist(), self.at[place + 1].tolist())]
         score = np.bincount(np.concatenate([self.member[s] for s in spans]),
                             np.concatenate([self.weight[s] for s in spans]), len(self.rows))

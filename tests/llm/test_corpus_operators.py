@@ -291,6 +291,16 @@ def test_packing_takes_the_nearest_neighbour(spark):
     assert taken[:2] == [1, 4]
 
 
+def test_packing_scores_all_terms_of_a_seed():
+    size, seed = 200, np.arange(1, 101)
+    idf = np.full(size, 1.0, np.float32)
+    idf[1:25] = 1.5  # the 24 rarest terms of the seed
+    rows = [(1, 100, seed, 0), (2, 100, np.append(seed[:1], np.arange(101, 200)), 0), (3, 100, np.append(seed[24:], np.arange(101, 125)), 0)]
+    order, score = packing._Shard(rows, idf, 100.0).ranked(0)
+    assert order.tolist() == [0, 2, 1]
+    assert np.allclose(score, [24 * 1.5 + 76, 1.5, 76])
+
+
 def test_packing_of_nothing(nothing):
     assert packing.pack_documents(nothing).count() == 0
 
