@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-MODULES = ("toxicity", "quality_model", "secrets", "chat", "substrings", "topk", "bpe", "simhash", "rules", "packing")
+MODULES = ("toxicity", "quality_model", "secrets", "chat", "substrings", "topk", "bpe", "simhash", "rules", "packing",
+           "merkle", "alignment", "sharding")
 
 
 def query(name: str, sql: str | None = None):

@@ -32,14 +32,14 @@ def test_query_matches_its_oracle(spark, oracle, name):
     assert sorted((tuple(row[c] for c in columns) for row in df.collect()), key=repr) == want
 
 
-@pytest.mark.parametrize("name", ["op1_toxicity", "op2_quality_model", "op3_secrets", "op5_substring_dedup", "op7_bpe", "op8_simhash"])
+@pytest.mark.parametrize("name", ["op1_toxicity", "op2_quality_model", "op3_secrets", "op5_substring_dedup", "op7_bpe", "op8_simhash", "op12_alignment", "op13_sharding"])
 def test_query_gives_one_row_for_each_document(spark, name):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = registry.QUERIES[name](spark, SF)
     assert sorted(r.doc_id for r in got.select("doc_id").collect()) == sorted(r.doc_id for r in docs.select("doc_id").collect())
 
 
-def test_all_ten_and_the_pipeline_are_registered(spark):
+def test_all_operators_and_the_pipeline_are_registered(spark):
     names = entry_point.queries()
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert names["pipeline"](spark, SF).count() > 0
