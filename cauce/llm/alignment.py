@@ -28,7 +28,7 @@ from cauce.llm.words import slices
 from cauce.sources.scratch import materialise
 
 #: Bytes of text in one slice; a longer text is a slice of its own.
-SLICE = 2 << 20
+SLICE = 1 << 20
 #: Ends of the shorter list that one stretch walks over.
 STRETCH = 64
 
@@ -159,7 +159,7 @@ def common_ends(a_end: np.ndarray, b_end: np.ndarray, a_doc: np.ndarray, b_doc:
     return i[order], j[order]
 
 
-_DIGITS = 10 ** np.arange(9, -1, -1)
+_DIGITS = (10 ** np.arange(9, -1, -1)).astype(np.int32)
 
 
 def listed(a_ids: np.ndarray, b_ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -171,7 +171,7 @@ def listed(a_ids: np.ndarray, b_ids: np.ndarray, i: np.ndarray, j: np.ndarray) -
     # rank differences: B tokens of earlier groups stand before an A token, A tokens up to its group before a B token
     a_to = np.arange(len(a_ids)) + np.append(0, j + 1)[a_group]
     b_to = np.arange(len(b_ids)) + (i + 1)[b_group]
-    ids, mark = np.empty(n, np.int64), np.full(n, ord(","), np.uint8)
+    ids, mark = np.empty(n, np.int32), np.full(n, ord(","), np.uint8)
     ids[a_to], ids[b_to] = a_ids, b_ids
     mark[a_to[i]], mark[b_to[j]] = ord("|"), ord(";")
     width = max(1, len(str(int(ids.max())))) if n else 1
@@ -198,7 +198,7 @@ def align_slice(a_ids: list[np.ndarray], b_ids: list[np.ndarray], a_length: np.n
     return a, b, a_doc, b_doc, i, j, np.diff(groups), digest
 
 
-def _align(vocabulary: str, pieces: str, limit: int):
+def _align(vocabulary: str, pieces: str, limit: int, tokens: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = _pair(vocabulary, pieces)
         base, number = TaskContext.get().partitionId() << 32, 0
@@ -211,9 +211,10 @@ def _align(vocabulary: str, pieces: str, limit: int):
             docs = pa.StructArray.from_arrays(
                 [part.column("doc_id"), pa.array(np.diff(a_doc)), pa.array(np.diff(b_doc)), pa.array(groups), pa.array(digest, pa.string())],
                 fields=[pa.field(*f) for f in _DOC])
+            place = np.searchsorted(pairs, links).astype("<u2" if len(pairs) <= 65536 else "<u4")
             yield pa.RecordBatch.from_arrays([
                 pa.array([base + number]), pa.ListArray.from_arrays([0, len(docs)], docs),
-                *[pa.array([x.astype("<i4").tobytes()]) for x in (a, b, i, j)], pa.array([np.searchsorted(pairs, links).astype("<i4").tobytes()]),
+                *[pa.array([x.astype("<i4").tobytes() if tokens else None], pa.binary()) for x in (a, b, i, j)], pa.array([place.tobytes()]),
                 *[pa.ListArray.from_arrays([0, len(x)], pa.array(x, pa.int64())) for x in (pairs, counts)]], schema=_SLICED)
             number += 1
 
@@ -226,14 +227,15 @@ def _per_document(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for row in range(batch.num_rows):
             docs = batch.column("docs")[row].values
             column = dict(zip([f[0] for f in _DOC], docs.flatten()))
-            link = np.frombuffer(batch.column("links")[row].as_py(), "<i4")
+            groups = column["n_groups"].to_numpy()
+            data = batch.column("links")[row].as_py()
+            link = np.frombuffer(data, "<u2" if len(data) == 2 * groups.sum() else "<u4")
             facts = batch.column("facts")[row].values
             count, best = np.zeros(0, np.int64), np.zeros(0, np.int64)
             if facts is not None and len(facts):
                 pair, total, most = (x.to_numpy(zero_copy_only=False) for x in facts.flatten())
                 order = np.argsort(pair)
                 count, best = total[order][link], most[order].astype(np.int64)[link]
-            groups = column["n_groups"].to_numpy()
             cut = np.cumsum(np.append(0, groups))
             sums = [pa.array(np.diff(np.append(0, np.cumsum(x))[cut])) for x in (best, count)]
             yield pa.RecordBatch.from_arrays(
@@ -242,12 +244,12 @@ def _per_document(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def aligned_slices(docs: DataFrame, vocabulary: str | None = None, pieces: str | None = None,
-                   key: str = "doc_id", text: str = "text", slice_bytes: int = SLICE) -> DataFrame:
-    """One written row per slice of documents: ``docs`` (facts of each document), ids of A and B, ``a_at`` and ``b_at``
-    (places of common ends, little-endian 32-bit, on end over the slice), ``links`` (place in ``pairs`` of every common
-    end) and the slice's distinct ``pairs`` with ``counts``; a pair is ``a * (ids of B) + b``."""
+                   key: str = "doc_id", text: str = "text", slice_bytes: int = SLICE, tokens: bool = True) -> DataFrame:
+    """One written row per slice of documents: ``docs`` (facts of each document), with ``tokens`` the ids of A and B and
+    ``a_at`` and ``b_at`` (places of common ends), all little-endian 32-bit and on end over the slice, ``links`` (place in
+    ``pairs`` of every common end) and the slice's distinct ``pairs`` with ``counts``; a pair is ``a * (ids of B) + b``."""
     source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    run = _align(vocabulary or default_vocabulary(), pieces or default_pieces(), slice_bytes)
+    run = _align(vocabulary or default_vocabulary(), pieces or default_pieces(), slice_bytes, tokens)
     return materialise(source.mapInArrow(run, _SLICED_DDL), "aligned")
 
 
@@ -302,7 +304,7 @@ def align_tokens(docs: DataFrame, vocabulary: str | None = None, pieces: str | N
     import sentencepiece
 
     size = sentencepiece.SentencePieceProcessor(model_file=pieces).get_piece_size()
-    sliced = aligned_slices(docs, vocabulary, pieces, key, text, slice_bytes)
+    sliced = aligned_slices(docs, vocabulary, pieces, key, text, slice_bytes, tokens=False)
     asked = sliced.select("slice", F.explode("pairs").alias("pair"))
     facts = asked.join(pair_counts(sliced, size), "pair").groupBy("slice").agg(
         F.collect_list(F.struct("pair", "count", "best")).alias("facts"))  # at most the distinct pairs of one slice
