@@ -79,22 +79,30 @@ def week_ending_sunday(day: Column) -> Column:
     return F.date_add(F.trunc(day, "week"), 6)
 
 
+# The US federal holidays, by date (month-day) or by month, weekday (Sunday is 1) and its count in the month.
+_DATED = {"01-01": "new_year", "06-19": "juneteenth", "07-04": "independence", "11-11": "veterans", "12-25": "christmas"}
+_NTH = {"1/2/3": "king", "2/2/3": "presidents", "9/2/1": "labor", "10/2/2": "columbus", "11/5/4": "thanksgiving"}
+
+
+def _listed(values: dict[str, str], key: Column) -> Column:
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in values.items() for x in pair]), key)
+
+
+def us_holiday(day: Column) -> Column:
+    """Name of the US federal holiday, NULL on other days; a Sunday date is also observed on the Monday after it."""
+    monday = F.dayofweek(day) == 2
+    nth = F.concat_ws("/", F.month(day), F.dayofweek(day), F.ceil(F.dayofmonth(day) / 7))
+    return F.coalesce(
+        _listed(_DATED, F.date_format(day, "MM-dd")), F.when(monday, _listed(_DATED, F.date_format(F.date_sub(day, 1), "MM-dd"))),
+        _listed(_NTH, nth), F.when(monday & (F.month(day) == 5) & (F.month(F.date_add(day, 7)) == 6), "memorial"))
+
+
 def is_us_holiday(day: Column) -> Column:
-    """US federal holidays by rule, with Saturday and Sunday dates also observed next to the weekend."""
-    month, dom, dow = F.month(day), F.dayofmonth(day), F.dayofweek(day)
-    nth = F.ceil(dom / 7)
-    last_monday = (dow == 2) & (dom + 7 > F.dayofmonth(F.last_day(day)))
-    fixed = F.lit(False)
-    for m, d in ((1, 1), (6, 19), (7, 4), (11, 11), (12, 25)):
-        here = (month == m) & (dom == d)
-        moved = (month == m) & (dom == d + 1) & (dow == 2)
-        fixed = fixed | here | moved
-    moving = (
-        ((month == 1) & (dow == 2) & (nth == 3))
-        | ((month == 2) & (dow == 2) & (nth == 3))
-        | ((month == 5) & last_monday)
-        | ((month == 9) & (dow == 2) & (nth == 1))
-        | ((month == 10) & (dow == 2) & (nth == 2))
-        | ((month == 11) & (dow == 5) & (nth == 4))
-    )
-    return fixed | moving
+    """Whether the day is a US federal holiday or one observed on Monday."""
+    return us_holiday(day).isNotNull()
+
+
+def near_us_holiday(day: Column) -> Column:
+    """The holiday of the day, else that of the next day with ``-1`` or of the day before with ``+1``, else NULL."""
+    return F.coalesce(us_holiday(day), F.concat(us_holiday(F.date_add(day, 1)), F.lit("-1")),
+                      F.concat(us_holiday(F.date_sub(day, 1)), F.lit("+1")))

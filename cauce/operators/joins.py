@@ -111,3 +111,12 @@ def changed(pairs: Sequence[tuple[Column, Column]]) -> Column:
     for old, new in pairs:
         result = result | ~old.eqNullSafe(new)
     return result
+
+
+def join_null_safe(df: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` in which NULL meets NULL; the side's key columns are left out."""
+    named = side.select(*[F.col(c).alias(f"_same_{c}") if c in keys else F.col(c) for c in side.columns])
+    same = F.lit(True)
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"_same_{c}"))
+    return df.join(named, same, how).drop(*[f"_same_{c}" for c in keys])

@@ -19,6 +19,8 @@ def build_session(app: str = "cauce", master: str | None = None, **settings: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # plans of many windows compile more classes than the default of 100 holds
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
     )
     if master:
         builder = builder.master(master)

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from cauce.operators import evaluate, explain, features, models, series
+from cauce.operators import arima, evaluate, explain, features, models, series
 from cauce.operators.series import Origin
 
 
@@ -169,10 +169,53 @@ def test_spike_is_an_anomaly(spark):
 def test_decomposition_adds_up(spark):
     parts = series.decompose(frame(spark, weekly(60, noise=1.0)), ["k"], "day", "n", 10)
     past = parts.where("tipo = 'history'")
-    gap = F.abs(F.col("valor") - F.col("tendencia") - F.col("estacionalidad") - F.col("residuo"))
+    gap = F.abs(F.col("valor") - sum(F.col(c) for c in ("tendencia", "estacionalidad", "festivo", "pico", "escalon", "residuo")))
     assert past.agg(F.max(gap)).first()[0] < 1e-9 and parts.where("tipo = 'forecast'").count() == 10
 
 
+def test_spike_step_and_holiday_land_in_their_own_part(spark):
+    rows = weekly(500, noise=1.0)
+    day = {name: i for i, (d, _) in enumerate(rows) for name, at in (("fourth", date(2022, 7, 4)), ("fourth again", date(2023, 5, 1))) if d == at}
+    planted = [(d, v + (400 if i == 90 else 0) + (60 if i >= 300 else 0) + (25 if i == day["fourth"] else 0)) for i, (d, v) in enumerate(rows)]
+    got = {r.fecha: r for r in series.decompose(frame(spark, planted), ["k"], "day", "n", 10).where("tipo = 'history'").collect()}
+    assert got[rows[90][0]].pico > 380 and got[rows[91][0]].pico < 10
+    assert abs(got[rows[250][0]].escalon + 60) < 5 and got[rows[400][0]].escalon == 0
+    assert 15 < got[rows[day["fourth"]][0]].festivo < 25
+    assert max(abs(r.residuo) for r in got.values()) < 20
+
+
+def test_each_holiday_has_its_own_effect_also_ahead(spark):
+    rows = weekly(1000, start=date(2020, 1, 6), noise=1.0)
+    effect = {(7, 4): -30.0, (12, 25): 50.0, (12, 24): 20.0}
+    planted = [(d, v + effect.get((d.month, d.day), 0.0)) for d, v in rows]
+    training = series.training_sets(frame(spark, planted), ["k"], "day", "n", [Origin("w", date(2022, 6, 20), 200)])
+    fits = series.fit_series(training, ["k"], "day", "n")
+    held = fits.first().holidays
+    assert -30 < held["independence"] < -15 and 40 < held["christmas"] < 52 and 10 < held["christmas-1"] < 21
+    ahead = {r.day: r.holiday_effect for r in series.forecast(fits, ["k"], "day").collect()}
+    assert ahead[date(2022, 7, 4)] == held["independence"] and ahead[date(2022, 12, 24)] == held["christmas-1"] and ahead[date(2022, 8, 3)] == 0
+
+
+def test_null_keys_and_several_rows_of_a_day(spark):
+    rows = [(None, d, v) for d, v in weekly(60, noise=1.0)]
+    data = spark.createDataFrame(rows + [("s", d, v) for _, d, v in rows] + [("s", rows[5][1], rows[5][2] + 2)], "k string, day date, n double")
+    filled = series.fill_days(data, ["k"], "day", "n")
+    assert filled.count() == 120 and filled.where("was_missing").count() == 0
+    assert filled.where("k = 's'").where(F.col("day") == F.lit(rows[5][1])).first().n == rows[5][2] + 1
+    assert series.detect_anomalies(data, ["k"], "day", "n").groupBy("k").count().collect().__len__() == 2
+    rolled = series.rolling_origin(data, ["k"], "day", "n", [Origin("w", rows[50][1], 5)])
+    assert rolled.where("k IS NULL AND viajes_reales IS NOT NULL").count() == 5
+
+
+def test_days_without_a_value_at_the_ends_stay_open(spark):
+    days = [date(2024, 1, 1) + timedelta(days=i) for i in range(5)]
+    df = frame(spark, [(days[0], None), (days[1], 1.0), (days[3], 3.0), (days[4], None)])
+    got = series.fill_days(df, ["k"], "day", "n").orderBy("day").collect()
+    assert [r.n for r in got] == [None, 1.0, 2.0, 3.0, None] and [r.was_missing for r in got] == [True, False, True, False, True]
+    empty = series.fill_days(frame(spark, [(days[0], None), (days[2], None)]), ["k"], "day", "n").collect()
+    assert [r.n for r in empty] == [None] * 3
+
+
 def test_values_after_the_cutoff_change_no_forecast(spark):
     days = [date(2022, 1, 1) + timedelta(days=i) for i in range(120)]
     rows = [(d, 100.0 + 10 * (i % 7) + i % 3) for i, d in enumerate(days) if i not in (89, 90)]
@@ -189,7 +232,7 @@ def test_short_and_noise_free_series_stay(spark):
     data = short.union(frame(spark, [(d, 20.0) for d in days], "flat"))
     training = series.training_sets(data, ["k"], "day", "n", [Origin("w", series.OPEN_END, 10)])
     fits = series.fit_series(training, ["k"], "day", "n")
-    ahead = series.forecast(training, fits, ["k"], "day", "n").collect()
+    ahead = series.forecast(fits, ["k"], "day").collect()
     assert {(r.k, r.basis) for r in ahead} == {("short", "repeat"), ("flat", "fitted")} and len(ahead) == 20
     assert {r.prediccion for r in ahead if r.k == "short"} == {5.0}
     assert series.fit_quality(fits, ["k"]).count() == 2
@@ -214,25 +257,67 @@ def test_spikes_and_noise_are_no_steps(spark):
     assert series.fit_series(training, ["k"], "day", "n").first().steps == 0
 
 
-def test_each_series_gets_the_form_that_fits_it(spark):
+def simulated(rng, n, ar=(0.0, 0.0), weekly_ar=0.0, ma=(0.0, 0.0), weekly_ma=0.0, drift=0.0, again=False):
+    """A weekly pattern whose differences by a week (once more if ``again``) follow the given terms."""
+    e, w = rng.normal(0, 1, n + 30), np.zeros(n + 30)
+    for t in range(8, n + 30):
+        w[t] = (drift + ar[0] * w[t - 1] + ar[1] * w[t - 2] + weekly_ar * w[t - 7] + e[t] + ma[0] * e[t - 1] + ma[1] * e[t - 2] + weekly_ma * e[t - 7])
+    z = np.cumsum(w[30:]) if again else w[30:]
+    out = 5000.0 + 50 * (np.arange(n) % 7)
+    for i in range(7, n):
+        out[i] = out[i - 7] + z[i]
+    return out
+
+
+def test_orders_and_coefficients_of_simulated_series_are_found(spark):
     rng = np.random.default_rng(4)
-    days = [date(2022, 1, 1) + timedelta(days=i) for i in range(600)]
-    level = 1000.0 + 20 * (np.arange(600) % 7)
-
-    def differences(a, b):
-        z, out = 0.0, level.copy()
-        for i in range(7, 600):
-            z = a + b * z + rng.normal(0, 1)
-            out[i] = out[i - 7] + z
-        return list(zip(days, out.tolist()))
-
-    data = frame(spark, differences(0, 0), "ar0")
-    for name, a, b in (("ar0+drift", 0.5, 0.0), ("ar1", 0.0, 0.6), ("ar1+drift", 0.5, 0.6)):
-        data = data.unionByName(frame(spark, differences(a, b), name))
-    training = series.training_sets(data, ["k"], "day", "n", [Origin("w", series.OPEN_END, 5)])
+    n = 1500
+    planted = {"white": {}, "ar1": {"ar": (0.6, 0.0)}, "ma1": {"ma": (0.6, 0.0)}, "weekly_ma": {"weekly_ma": -0.6}, "weekly_ar": {"weekly_ar": 0.5},
+               "drift": {"ar": (0.5, 0.0), "drift": 0.5}, "again": {"ma": (0.4, 0.0), "again": True}}
+    days = [date(2018, 1, 1) + timedelta(days=i) for i in range(n)]
+    rows = [(k, d, float(v)) for k, terms in planted.items() for d, v in zip(days, simulated(rng, n, **terms))]
+    training = series.training_sets(spark.createDataFrame(rows, "k string, day date, n double"), ["k"], "day", "n", [Origin("w", series.OPEN_END, 5)])
     fits = {r.k: r for r in series.fit_series(training, ["k"], "day", "n").collect()}
-    assert fits["ar0+drift"].model.endswith("drift") and fits["ar1+drift"].model == "ar1+drift"
-    assert fits["ar0"].model.startswith("ar0") and fits["ar1"].model.startswith("ar1")
+    found = {k: dict(zip(arima.TERMS, r.coefficients)) for k, r in fits.items()}
+    # the test for a steady level errs now and then on lags that hang together
+    steady = {k for k, r in fits.items() if r.d == 0}
+    assert "again" not in steady and len(steady) >= 5
+    assert fits["white"].n_terms <= 1 and all(0.8 < fits[k].sigma2 < 1.2 for k in steady)
+    for name, term, value in (("ar1", "ar1", 0.6), ("ma1", "ma1", 0.6), ("weekly_ma", "sma1", -0.6), ("weekly_ar", "sar1", 0.5), ("drift", "drift", 0.5)):
+        assert name not in steady or abs(found[name][term] - value) < 0.15
+
+
+def test_elimination_solves_the_chosen_columns_only(spark):
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(50, 3))
+    y = x @ [1.0, -2.0, 0.5] + rng.normal(size=50)
+    full = np.column_stack([x, y])
+    matrix = F.lit((full.T @ full).tolist())
+    a = spark.range(1).select(arima.swept(matrix, F.lit([0, 2])).alias("a")).first().a
+    want, sse, _, _ = np.linalg.lstsq(x[:, [0, 2]], y, rcond=None)
+    assert np.allclose([a[0][3], a[2][3], a[3][3]], [*want, sse[0]])
+    twice = np.column_stack([x[:, 0], x[:, 0], y])
+    none = spark.range(1).select(arima.swept(F.lit((twice.T @ twice).tolist()), F.lit([0, 1])).alias("a")).first().a
+    assert none[2][2] is None
+
+
+def test_projection_and_impulse_follow_the_recursion(spark):
+    c = [0.3, 0.5, -0.2, 0.1, 0.4, 0.2, -0.3]
+    w, e, y = ([float(v) for v in np.random.default_rng(k).normal(size=7)] for k in range(3))
+    args = [F.lit(v) for v in (w, e)] + [F.lit(0.7), F.lit(y), F.lit(c), F.lit(1), F.lit(c[0])]
+    row = spark.range(1).select(arima.projected(F.lit(10), *args).alias("p"), arima.impulse(F.lit(10), F.lit(c), F.lit(1)).alias("s")).first()
+
+    def follow(w, e, z, y, drift):
+        out, w, e, y = [], list(w), list(e), list(y)
+        for _ in range(10):
+            new = drift + c[1] * w[0] + c[2] * w[1] + c[3] * w[6] + c[4] * e[0] + c[5] * e[1] + c[6] * e[6]
+            z += new
+            w, e, y = [new, *w[:6]], [0.0, *e[:6]], [y[6] + z, *y[:6]]
+            out.append(y[0])
+        return out
+
+    one = [1.0] + [0.0] * 6
+    assert np.allclose(row.p, follow(w, e, 0.7, y, c[0])) and np.allclose(row.s, [1.0, *follow(one, one, 1.0, one, 0.0)])
 
 
 def test_explanations_of_rows_that_share_a_key_stay_apart(spark):
