@@ -5,10 +5,11 @@ Grammar of a formatted conversation::
     conversation = { turn }
     turn         = "<s>[INST]" role "[/INST]" text "</s>"
 
-``<s>``, ``</s>``, ``[INST]`` and ``[/INST]`` are control strings. A role or text is first written
-as it is and parsed back; where the parser does not give back the source, it is written escaped:
-each control string, with any backslashes already in it, gets one more backslash after its opening
-bracket (``</s>`` becomes ``<\\/s>``), which the parser takes away again.
+``<s>``, ``</s>``, ``[INST]`` and ``[/INST]`` are control strings. A turn is first written as it is and
+parsed back; where it holds a control string, which a tokenizer would take for a mark, or the parser does
+not give back the source, it is written escaped: each control string, with any backslashes already
+in it, gets one more backslash after its opening bracket (``</s>`` becomes ``<\\/s>``), which the parser
+takes away again. The whole conversation is parsed once more and compared.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from cauce.llm.registry import query, table
 
 OPEN, MIDDLE, CLOSE = "<s>[INST]", "[/INST]", "</s>"
 _PLAIN = r"([<\[])(\\*)(/?s>|/?INST\])"
+_CONTROL = r"<\/?s>|\[\/?INST\]"
 _ESCAPED = r"([<\[])\\(\\*)(/?s>|/?INST\])"
 #: Turns of one conversation are gathered in this order; ties are equal rows.
 _ORDER = ("turn", "role", "text")
@@ -48,14 +50,11 @@ def _written(role: Column, text: Column) -> Column:
 
 
 def write_turn(role: Column, text: Column) -> Column:
-    """One turn as text: raw if the parser gives back exactly the source, else what conflicts escaped.
-
-    Rounds: both raw, the text escaped, both escaped. The last always reads back.
-    """
+    """One turn as text: raw if it has no control string and the parser gives back exactly the source, else escaped."""
     source = F.array(F.struct(role.alias("role"), text.alias("text")))
-    both = _written(escape(role), escape(text))
-    raw, body = _written(role, text), _written(role, escape(text))
-    return F.when(read_turns(raw) == source, raw).when(read_turns(body) == source, body).otherwise(both)
+    raw = _written(role, text)
+    control = role.rlike(_CONTROL) | text.rlike(_CONTROL)
+    return F.when(~control & (read_turns(raw) == source), raw).otherwise(_written(escape(role), escape(text)))
 
 
 def format_conversations(turns: DataFrame) -> DataFrame:

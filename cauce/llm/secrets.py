@@ -2,7 +2,7 @@
 
 A layer is a text with a map to the document's code points. Scanning a layer finds secrets;
 unwrapping it gives further layers: the whole text with its percent escapes or its Unicode escapes
-replaced, and the content of each base64 run, inflated where it is compressed. Layers are taken
+replaced (beyond three such levels all that are left at once), and the content of each base64 run, inflated where it is compressed. Layers are taken
 from the worklist until none is left; one whose content and place were seen before is not taken
 again, so a content that unwraps to itself ends.
 """
@@ -42,8 +42,10 @@ _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 #: The next line of a wrapped run.
 _LINE = re.compile(r"[ \t]*\r?\n[ \t]*([A-Za-z0-9+/_-]+={0,2})")
 #: A layer that inflates to more bytes than this is scanned in pieces of this size, each half over the one before, and
-#: counted as ``oversized``: only a run longer than half a piece can be broken there.
-LAYER_BYTES = 16 << 20
+#: counted as ``oversized``: only a run longer than half a piece can be broken there, so a redaction takes it out whole.
+LAYER_BYTES = 32 << 20
+#: Escapes nested deeper than this are taken off all at once, so that the work stays in proportion to the text.
+DEEP = 3
 
 
 class Span(NamedTuple):
@@ -145,6 +147,93 @@ def _unicode(layer: Layer) -> Layer | None:
     return _replaced(layer, runs, layer.path + ">unicode")
 
 
+_HEXITS = frozenset("0123456789abcdefABCDEF")
+_BRACED = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}")
+
+
+def _unwrapped(layer: Layer) -> Layer | None:
+    """All nested percent and Unicode escapes taken off in one pass.
+
+    Characters go on a stack; when its top spells an escape, that becomes one character, which may
+    end a further one. No two escapes overlap, so this ends where level after level would.
+    """
+    text = layer.text
+    if "%" not in text and "\\" not in text:
+        return None
+    held: list[str] = []
+    start: list[int] = []
+    changed = False
+
+    def close(n: int, char: str) -> str:
+        """The last ``n`` characters become ``char``."""
+        nonlocal changed
+        changed = True
+        del held[-n:]
+        del start[len(held) + 1:]
+        held.append(char)
+        return char
+
+    for at, c in enumerate(text):
+        held.append(c)
+        start.append(at)
+        while True:
+            if c in _HEXITS:
+                if len(held) > 2 and held[-3] == "%" and held[-2] in _HEXITS:
+                    v = int(held[-2] + c, 16)
+                    c = close(3, chr(v if v < 128 else 0xDC00 + v))  # bytes of a longer character wait as in surrogateescape
+                    continue
+                if len(held) > 3 and held[-4] == "\\" and held[-3] == "x" and held[-2] in _HEXITS:
+                    c = close(4, chr(int(held[-2] + c, 16)))
+                    continue
+                if len(held) > 5 and held[-6] == "\\" and held[-5] == "u" and _HEXITS.issuperset(held[-4:]):
+                    code = int("".join(held[-4:]), 16)
+                    if 0xDC00 <= code < 0xE000:
+                        high = held[-7] if len(held) > 6 else ""
+                        if "\ud800" <= high < "\udc00":
+                            c = close(7, chr(0x10000 + ((ord(high) - 0xD800) << 10) + code - 0xDC00))
+                        else:
+                            c = close(6, "\ufffd")
+                    else:
+                        c = close(6, chr(code))
+                    continue
+            elif c == "}" and (m := _BRACED.fullmatch("".join(held[-10:]), max(0, min(len(held), 10) - _braced_length(held)))):
+                code = int(m[1], 16)
+                c = close(len(m[0]), chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else "\ufffd")
+                continue
+            break
+    if not changed:
+        return None
+    start.append(len(text))
+    runs, i = [], 0
+    while i < len(held):
+        j = i
+        while j < len(held) and 0xDC80 <= ord(held[j]) < 0xDD00:
+            j += 1
+        if j > i:
+            for c in bytes(ord(x) - 0xDC00 for x in held[i:j]).decode(errors="surrogateescape"):
+                n = 1 if 0xDC80 <= ord(c) < 0xDD00 else len(c.encode())
+                length = start[i + n] - start[i]
+                if n == 1:  # no UTF-8: stays escaped
+                    mark = f"%{ord(c) - 0xDC00:02X}"
+                    runs.append((start[i], [(mark[0], length - 2), (mark[1], 1), (mark[2], 1)]))
+                else:
+                    runs.append((start[i], [(c, length)]))
+                i += n
+            continue
+        if start[i + 1] - start[i] > 1:
+            runs.append((start[i], [("\ufffd" if "\ud800" <= held[i] < "\ue000" else held[i], start[i + 1] - start[i])]))
+        i += 1
+    return _replaced(layer, runs, layer.path + (">url" if "%" in text else ">unicode"))
+
+
+def _braced_length(held: list[str]) -> int:
+    """Length of the last piece of the stack from a backslash on, at most ten characters."""
+    for n in range(4, min(10, len(held)) + 1):
+        if held[-n] == "\\":
+            return n
+    return 0
+
+
 def _form(data: bytes) -> tuple[Callable, str] | None:
     """Decompressor and name of gzip, zlib, bzip2 or xz bytes; None if they are none of them."""
     if data[:2] == b"\x1f\x8b":
@@ -272,8 +361,8 @@ def _lines(text: str, first: re.Match) -> list[tuple[int, int]]:
     return lines
 
 
-def _base64(layer: Layer, oversized: list[int]) -> Iterator[Layer]:
-    """Layers of the base64 runs, made as they are asked for; the large ones are counted."""
+def _base64(layer: Layer, oversized: list[tuple[int, int]]) -> Iterator[Layer]:
+    """Layers of the base64 runs, made as they are asked for; places of the large ones are noted."""
     done = 0
 
     def take(start: int, end: int, run: str) -> Generator[Layer, None, bool]:
@@ -282,7 +371,8 @@ def _base64(layer: Layer, oversized: list[int]) -> Iterator[Layer]:
         first, last = layer.origin(start, end)
         for piece, path, well, large in _opened(data, ">base64") if data else ():
             meant |= well and (path != ">base64" or _readable(piece) is not None)
-            oversized[0] += large
+            if large:
+                oversized.append((first, last))
             for text, step in _texts(piece):
                 yield Layer(text, [0], [first], [last - first], layer.path + path + step)
         return meant
@@ -300,6 +390,9 @@ def _base64(layer: Layer, oversized: list[int]) -> Iterator[Layer]:
         for start, end in lines[:-1] or lines:
             run = layer.text[start:end]
             if not (yield from take(start, end, run)):
+                for k in (1, 2, 3):  # glued to a letter or digit before it
+                    if len(run) - k >= 16 and (data := _unbase64(run[k:])) and (_form(data) or _readable(data) is not None):
+                        yield from take(start + k, end, run[k:])
                 for x in re.finditer(r"[A-Za-z0-9]{16,}={0,2}", run):
                     if x[0] != run:
                         yield from take(start + x.start(), start + x.end(), x[0])
@@ -316,8 +409,14 @@ def _mark(layer: Layer) -> tuple:
 
 def scan(text: str) -> tuple[list[Span], list[tuple[Span, str]], int]:
     """Spans of the text itself, further spans found in layers with the path to each, and how many layers were too large."""
+    base, more, large = scan_layers(text)
+    return base, more, len(large)
+
+
+def scan_layers(text: str) -> tuple[list[Span], list[tuple[Span, str]], list[tuple[int, int]]]:
+    """As ``scan``, with the places of the layers that were too large to be scanned in one piece."""
     base = sorted(Span(*x) for x in find(text))
-    seen_spans, more, oversized = set(base), {}, [0]
+    seen_spans, more, oversized = set(base), {}, []
     seen: set[tuple] = set()
     work = [iter([Layer(text, [0], [0], [0], "")])]
     while work:
@@ -335,9 +434,10 @@ def scan(text: str) -> tuple[list[Span], list[tuple[Span, str]], int]:
                 if span not in seen_spans:
                     seen_spans.add(span)
                     more[span] = layer.path[1:], layer.text[start:end]
-        whole = [x for x in (_percent(layer), _unicode(layer)) if x is not None]
+        deep = layer.path.count(">url") + layer.path.count(">unicode") >= DEEP
+        whole = [x for x in ((_unwrapped(layer),) if deep else (_percent(layer), _unicode(layer))) if x is not None]
         work.append(itertools.chain(whole, _base64(layer, oversized)))
-    return base, _narrowest(more), oversized[0]
+    return base, _narrowest(more), oversized
 
 
 def _narrowest(found: dict[Span, tuple[str, str]]) -> list[tuple[Span, str]]:
@@ -388,7 +488,12 @@ def scan_secrets(docs: DataFrame, text: str = "text", out: str = "secrets") -> D
 
 
 def redact_secrets(docs: DataFrame, text: str = "text", mark: str = "[secret]") -> DataFrame:
-    """``docs`` with each stretch of ``text`` that a span covers replaced by ``mark``; NULL stays NULL."""
+    """``docs`` with each stretch of ``text`` that a span covers replaced by ``mark``; NULL stays NULL.
+
+    A stretch with a layer that is too large to be scanned in one piece is replaced as a whole, since a
+    secret may be broken in it. Each text is redacted whole and by itself, repeated rows alike; an empty
+    table stays empty; other columns stay.
+    """
     schema, names = docs.schema, docs.columns
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -396,12 +501,12 @@ def redact_secrets(docs: DataFrame, text: str = "text", mark: str = "[secret]")
             texts = []
             for value in part.column(text).to_pylist():
                 if value:
-                    base, more, _ = scan(value)
+                    base, more, large = scan_layers(value)
                     pieces, done = [], 0
-                    for span in sorted([*base, *(s for s, _ in more)]):
-                        if span.start >= done:
-                            pieces += [value[done:span.start], mark]
-                        done = max(done, span.end)
+                    for start, end in sorted([*((s.start, s.end) for s in [*base, *(s for s, _ in more)]), *large]):
+                        if start >= done:
+                            pieces += [value[done:start], mark]
+                        done = max(done, end)
                     value = "".join([*pieces, value[done:]]) if pieces else value
                 texts.append(value)
             at = names.index(text)

@@ -77,10 +77,11 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def block_top(queries: np.ndarray, q_ids: np.ndarray, columns: np.ndarray, ids: np.ndarray, k: int,
-              step: int = STEP) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+              step: int = STEP, known: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For each query ``(number, candidate ids, scores)`` of its ``k`` best in a vertical block, ties to smaller ids.
 
-    ``queries`` is one row per query, ``columns`` one row per dimension.
+    ``queries`` is one row per query, ``columns`` one row per dimension; ``known`` are ``k`` scores per
+    query that others reach already: candidates that must stay below the least of them leave.
     """
     dims = columns.shape[0]
     # norms of what follows each step, a little enlarged so that rounding never prunes
@@ -89,26 +90,28 @@ def block_top(queries: np.ndarray, q_ids: np.ndarray, columns: np.ndarray, ids:
         rest = np.sqrt(np.cumsum(q[::-1].astype(float) ** 2)[::-1]) * (1 + 1e-9) + 1e-6
         alive = np.flatnonzero(ids != own)
         score = np.zeros(len(alive), np.int64)
+        bar = known[number].min() if known is not None else -np.inf
         for a in range(0, dims, step):
             b = min(a + step, dims)
             part = columns[a:b] if len(alive) == columns.shape[1] else columns[a:b][:, alive]
             score += q[a:b] @ part
-            if b < dims and len(alive) > k:
+            if b < dims and len(alive):
                 slack = rest[b] * after[b][alive]
-                floor = np.partition(score - slack, len(alive) - k)[len(alive) - k]
+                floor = max(bar, np.partition(score - slack, len(alive) - k)[len(alive) - k]) if len(alive) > k else bar
                 stay = score + slack >= floor
                 if not stay.all():
                     alive, score = alive[stay], score[stay]
         if len(alive) > k:
-            bar = np.partition(score, len(alive) - k)[len(alive) - k]
-            stay = score >= bar
-            alive, score = alive[stay], score[stay]
+            bar = max(bar, np.partition(score, len(alive) - k)[len(alive) - k])
+        stay = score >= bar
+        alive, score = alive[stay], score[stay]
         order = np.lexsort((ids[alive], -score))[:k]
         yield number, ids[alive][order], score[order]
 
 
 def _search(k: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, np.ndarray] = {}  # the k best scores of each query so far, by query block
         for batch in batches:
             for row in range(batch.num_rows):
                 get = {c: batch.column(c)[row].as_py() for c in batch.schema.names}
@@ -116,7 +119,10 @@ def _search(k: int):
                 q = np.frombuffer(get["q_columns"], "<i8").reshape(dims, get["q_n"]).T
                 columns = np.frombuffer(get["columns"], "<i8").reshape(dims, get["n"])
                 q_ids, ids = np.frombuffer(get["q_ids"], "<i8"), np.frombuffer(get["ids"], "<i8")
-                found = list(block_top(q, q_ids, columns, ids, k))
+                known = best.setdefault(get["q_block"], np.full((len(q), k), np.iinfo(np.int64).min))
+                found = list(block_top(q, q_ids, columns, ids, k, known=known))
+                for number, _, score in found:
+                    known[number] = np.sort(np.append(known[number], score))[-k:]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.repeat(q_ids, [len(f[1]) for f in found])),
                     pa.array(np.concatenate([f[1] for f in found])), pa.array(np.concatenate([f[2] for f in found]))],
@@ -130,30 +136,32 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, scale: int = 1024, key: str
     """``query_id, rank, vec_id, score``: each query's ``k`` highest integer inner products.
 
     Queries are the rows for which ``is_query`` holds; candidates are all rows of the same length
-    but those with the query's own key. Components become ``floor(scale * x)``; scores have to fit
-    64 bits. Vectors that are NULL, hold NULL or non-finite components, or have a NULL key take no
-    part. Ties go to the smaller key; repeated rows of a candidate count once each, repeated query
-    rows once together. Other columns are ignored; an empty table gives an empty table.
-
-    Every block of queries meets every block of candidates, as an exact search over all rows must;
-    a block of queries is sent to each block of candidates, never a row to each row, and only ``k``
-    rows per query and pair of blocks go on.
+    but those with the query's own key. Components become ``floor(scale * x)``; a table whose scores
+    might not fit 64 bits is refused. Vectors that are NULL, hold NULL or non-finite components, or have
+    a NULL key take no part. Ties go to the smaller key; repeated rows count once each, candidates as
+    well as queries; several vectors under one query key are all asked and ranked together. Other columns
+    are ignored; an empty table gives an empty table.
+
+    Every block of queries meets every block of candidates, as an exact search over all rows must.
+    Candidate blocks are dealt to as many groups as there are shuffle partitions and stay there; the
+    queries, in blocks, go to each group once. A group's later blocks are pruned by the scores that
+    its earlier ones reached, and only rows that can be among the ``k`` go on.
     """
+    spark = vectors.sparkSession
     sound = F.col(vector).isNotNull() & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = vectors.filter(F.col(key).isNotNull() & sound).select(
         F.col(key).cast("long").alias("id"), quantised(F.col(vector), scale).alias("v"), is_query.alias("q"))
+    square = F.aggregate(F.col("v"), F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    if (rows.agg(F.max(square)).first()[0] or 0.0) >= 2.0 ** 62:
+        raise ValueError("inner products of these vectors may not fit 64 bits: use a smaller scale")
     blocks = materialise(rows.select("id", "v").mapInArrow(_blocks(CANDIDATES), _BLOCK), "candidates")
-    asked = rows.filter("q").select("id", "v").dropDuplicates(["id"])
-    queries = materialise(asked.mapInArrow(_blocks(QUERIES), _BLOCK), "queries").select(
+    queries = materialise(rows.filter("q").select("id", "v").mapInArrow(_blocks(QUERIES), _BLOCK), "queries").select(
         "dims", *[F.col(c).alias(f"q_{c}") for c in ("block", "n", "ids", "columns")])
-    # each query block names the candidate blocks it goes to; only their numbers are gathered
-    targets = blocks.groupBy("dims").agg(F.collect_list("block").alias("blocks"))
-    pairs = (
-        queries.join(targets, "dims").select("*", F.explode("blocks").alias("block")).drop("blocks")
-        .join(blocks.drop("dims"), "block")
-    )
-    spread = pairs.repartition("block", "q_block")
-    found = spread.mapInArrow(_search(k), "query_id long, vec_id long, score long")
+    groups = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = blocks.withColumn("part", F.pmod(F.xxhash64("block"), F.lit(groups)))
+    used = dealt.groupBy("dims").agg(F.collect_set("part").alias("parts"))  # at most a number per group
+    sent = queries.join(used, "dims").select("*", F.explode("parts").alias("part")).drop("parts")
+    found = sent.join(dealt, ["dims", "part"]).mapInArrow(_search(k), "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

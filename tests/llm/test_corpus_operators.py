@@ -84,6 +84,16 @@ def test_chat_leaves_what_does_not_conflict_as_it_is(spark):
     assert chat.format_conversations(turns).first().formatted == r"<s>[INST]user[/INST]a \ b <b> [x]</s><s>[INST]assistant[/INST]c</s>"
 
 
+@pytest.mark.parametrize("text", ["<s>", "</s>", "[INST]", "[/INST]", "[INST] hi [/INST]", "<s> ok", "a</s>b", "<s>[INST]<\\s>[/INST]</s>"])
+def test_chat_escapes_every_control_string(spark, text):
+    turns = spark.createDataFrame([(1, 0, "user", text), (1, 1, text, "plain")], "conv_id long, turn long, role string, text string")
+    done = chat.format_conversations(turns).first()
+    inner = [t for t in re.split(r"<s>\[INST\]|\[/INST\]|</s>", done.formatted) if t]
+    assert done.identical and len(inner) == 4 and not any(re.search(r"<s>|</s>|\[INST\]|\[/INST\]", t) for t in inner)
+    escaped = re.sub(r"([<\[])(\\*)(/?s>|/?INST\])", r"\1\\\2\3", text)
+    assert inner == ["user", escaped, escaped, "plain"]
+
+
 def test_chat_orders_ties_nulls_and_repeats(spark):
     rows = [(None, 1, "b", "y"), (None, 1, "b", "x"), (None, None, "z", "first"), (None, 1, "b", "x")]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("written", F.lit(1))
@@ -92,6 +102,32 @@ def test_chat_orders_ties_nulls_and_repeats(spark):
     assert chat.format_conversations(turns.filter("false")).count() == 0
 
 
+def brute_topk(rows, k):
+    found = []
+    for q, v in rows:
+        if q % 100 == 0:
+            found += [(q, -sum(int(a) * int(b) for a, b in zip(v, w)), c) for c, w in rows if c != q]
+    out = []
+    for q in {x[0] for x in found}:
+        out += [(q, rank, c, -score) for rank, (_, score, c) in enumerate(sorted(x for x in found if x[0] == q)[:k], 1)]
+    return sorted(out)
+
+
+def test_topk_asks_every_row_of_a_query_key(spark, monkeypatch):
+    r = random.Random(8)
+    rows = [(i % 160, [float(r.randint(-3, 3)) for _ in range(6)]) for i in range(400)] + [(100, [1.0] * 6)] * 2 + [(100, [-2.0] * 6), (300, [0.0] * 6)]
+    monkeypatch.setattr(topk, "_blocks", lambda size, made=topk._blocks: made(min(size, 16)))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = topk.top_k(df, F.col("vec_id") % 100 == 0, scale=1).collect()
+    assert sorted((x.query_id, x.rank, x.vec_id, x.score) for x in got) == brute_topk(rows, 10)
+
+
+def test_topk_refuses_scores_beyond_64_bits(spark):
+    df = spark.createDataFrame([(100, [3e15, 1.0]), (1, [3e15, 2.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="64 bits"):
+        topk.top_k(df, F.col("vec_id") % 100 == 0)
+
+
 # --- secrets -------------------------------------------------------------------------------
 
 SECRET = "password=hunter2secret99"
@@ -117,6 +153,60 @@ def test_secret_is_found_under_every_layer_and_mapped_back(hidden):
     assert span.end - span.start >= len(hidden) - 6
 
 
+def nested(text, levels):
+    for _ in range(levels):
+        text = text.replace("%", "%25") if "%" in text else urllib.parse.quote(text, safe="")
+    return text
+
+
+@pytest.mark.parametrize("hidden", [
+    nested("password=hunter2 secret", 9), "%2525252541" * 3 + nested("token = abcdef123 é漢", 7),
+    "".join(f"\\u{ord(c):04x}" for c in "".join(f"\\u{ord(c):04x}" for c in "".join(f"\\x{ord(c):02x}" for c in "".join(
+        f"\\u{{{ord(c):x}}}" for c in "".join(f"%{ord(c):02x}" for c in "secret:abcdef"))))),
+    "%2525255cu0070assword=hunter22", "%%%3325%2525" + nested("secret=abcdefg", 5)])
+def test_deep_escapes_come_off_as_they_would_level_by_level(hidden, monkeypatch):
+    text = f"before {hidden} after"
+    _, deep, _ = secrets.scan(text)
+    monkeypatch.setattr(secrets, "DEEP", 1000)
+    _, level, _ = secrets.scan(text)
+    assert {s for s, _ in deep} and {s for s, _ in deep} <= {s for s, _ in level}
+    assert max(s.end for s, _ in deep) == max(s.end for s, _ in level)
+
+
+def test_a_megabyte_of_nested_escapes_ends_in_seconds():
+    import time
+
+    begun = time.monotonic()
+    _, more, _ = secrets.scan("%" + "25" * 500_000 + "41 password%" + "25" * 100_000 + "3Dhunter2")
+    assert time.monotonic() - begun < 30 and any(s.kind == 0 for s, _ in more)
+
+
+def test_a_run_glued_to_a_letter_is_found():
+    for glue in ("k", "ab", "x9z"):
+        _, more, _ = secrets.scan(f"{glue}{b64(SECRET.encode())} end")
+        assert any(s.kind == 0 for s, _ in more)
+
+
+def test_a_secret_behind_a_large_layer_with_a_long_run_is_found():
+    run = b64(b"\0" * (7 << 20) + b" " + SECRET.encode() + b" ")
+    filler = b"all work and no play\n" * (11 << 16)
+    _, more, large = secrets.scan(b64(gzip.compress(filler + run.encode())))
+    assert large == 0 and any(s.kind == 0 for s, _ in more)
+
+
+def test_what_cannot_be_scanned_whole_is_redacted_whole(spark):
+    before = secrets.LAYER_BYTES
+    secrets.LAYER_BYTES = 1000
+    try:
+        hidden = b64(gzip.compress(b"x y " * 5000))
+        assert secrets.scan_layers(f"a {hidden} b")[2] == [(2, 2 + len(hidden))]
+    finally:
+        secrets.LAYER_BYTES = before
+    large = "head " + b64(gzip.compress(bytes(33 << 20))) + " tail"
+    docs = spark.createDataFrame([(1, large), (2, large[:200]), (3, None)], "doc_id long, text string")
+    assert [x.text for x in secrets.redact_secrets(docs).orderBy("doc_id").collect()] == ["head [secret] tail", large[:200], None]
+
+
 def brute_secrets(text):
     out = []
     for k, (kind, pattern, flags, group, least) in enumerate((
@@ -159,7 +249,7 @@ def test_secrets_in_wrapped_base64_are_found(end):
         hidden = wrapped(b"." * before + SECRET.encode() + b" and further words of the text" * 3)
         text = f"é before\n{hidden}\nafter"
         base, more, _ = secrets.scan(text)
-        assert not base and [s.kind for s, _ in more] == [0]
+        assert not base and any(s.kind == 0 for s, _ in more)
         assert text.index(hidden) <= more[0][0].start and more[0][0].end <= text.index(hidden) + len(hidden)
     r = random.Random(1)
     noise = " ".join(str(r.random()) for _ in range(200))
@@ -203,7 +293,7 @@ def test_large_layers_and_all_members_are_scanned(spark, monkeypatch, pack):
     for second in (pack(SECRET.encode()), f" {SECRET}".encode(), bz2.compress(SECRET.encode())):
         hidden = b64(pack(b"first words") + second)
         assert {s.kind for s, _ in secrets.scan(hidden)[1]} == {0}
-    docs = spark.createDataFrame([(1, b64(gzip.compress(bytes(17 << 20)))), (2, "clean")], "doc_id long, text string")
+    docs = spark.createDataFrame([(1, b64(gzip.compress(bytes(33 << 20)))), (2, "clean")], "doc_id long, text string")
     assert [x.secrets_oversized > 0 for x in secrets.scan_secrets(docs).orderBy("doc_id").collect()] == [True, False]
 
 
