@@ -2,9 +2,10 @@
 
 Documents are encoded once and written: whole windows of a long document stand alone, its rest is
 to be packed. The terms of the index are token ids, so corpus-wide document counts are one array
-of the vocabulary's size. The rests of a partition are cut into shards of bounded size; each has
-an inverted index, from which a seed takes its best unused neighbours until its window is full.
-Only the last window of a partition can stay short.
+of the vocabulary's size. Rests are range-partitioned and sorted by content: by their rarest terms
+that other documents have too, copies of one text by a hash of the row. Runs of this order are the
+shards; each has an inverted index, from which a seed takes its best unused neighbours until its
+window is full. Only the last window of a partition can stay short.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from cauce.sources.scratch import materialise
 
 WINDOW = 1024
 END = 0
+#: Terms of the key by which rests are sorted, the rarest first.
+KEY_TERMS = 8
 #: Rests and tokens of one shard: what bounds its index in memory.
 SHARD_DOCS, SHARD_TOKENS = 2048, 1 << 20
 K1, B = 1.2, 0.75
@@ -81,6 +84,31 @@ def _encode(path: str, window: int, end: int):
     return run
 
 
+def _by_content(frequency: np.ndarray):
+    """Add ``lex``: the places of a rest's rarest terms among all terms by frequency, big-endian, so that bytes sort like the list.
+
+    Terms of one document only say nothing about neighbours and are left out.
+    """
+    place = np.empty(len(frequency), ">u4")
+    place[np.argsort(frequency, kind="stable")] = np.arange(len(frequency))
+    shared = frequency > 1
+    kind = "<u2" if len(frequency) <= 65536 else "<u4"
+
+    def key(rest: bytes | None) -> bytes:
+        ids = distinct(np.frombuffer(rest or b"", kind))
+        at = place[ids[shared[ids]]].astype(np.int64)
+        if len(at) > KEY_TERMS:
+            at = np.partition(at, KEY_TERMS - 1)[:KEY_TERMS]
+        return np.sort(at).astype(">u4").tobytes()
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = pa.array([key(rest) for rest in batch.column("rest").to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, keys], [*batch.schema.names, "lex"])
+
+    return run
+
+
 class _Shard:
     """Inverted index over the rests of one shard, and what of each is left."""
 
@@ -109,7 +137,7 @@ class _Shard:
         return order, score
 
 
-def _pack(idf: np.ndarray, mean: float, window: int):
+def _pack(idf: np.ndarray, mean: float, window: int, shard_docs: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 40
         number = filled = 0
@@ -174,7 +202,7 @@ def _pack(idf: np.ndarray, mean: float, window: int):
                     ids = np.frombuffer(rest, kind)
                     rows.append((doc_id, n, ids, 0))
                     tokens += len(ids)
-                if len(rows) >= SHARD_DOCS or tokens >= SHARD_TOKENS:
+                if len(rows) >= shard_docs or tokens >= SHARD_TOKENS:
                     rows = fill(rows, False)
                     tokens = sum(len(r[2]) for r in rows)
                 if len(out) >= 10_000:
@@ -188,12 +216,13 @@ def _pack(idf: np.ndarray, mean: float, window: int):
 
 
 def pack_documents(docs: DataFrame, vocabulary: str | None = None, window: int = WINDOW, end: int = END,
-                   key: str = "doc_id", text: str = "text") -> DataFrame:
+                   key: str = "doc_id", text: str = "text", shard_docs: int = SHARD_DOCS) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, seed, score``.
 
     Each document is its ids and then ``end``; every id lies in one piece. ``seed`` marks the piece
     that opened its sequence (or is a whole window of one document), ``score`` the BM25 score of a
-    neighbour against it. NULL texts are empty: one piece of the one id ``end``; NULL keys stay
+    neighbour against it. Neighbours come from the seed's shard: rests that share its rarest terms
+    lie there, wherever they were stored. NULL texts are empty: one piece of the one id ``end``; NULL keys stay
     NULL; repeated rows are packed each by itself; other columns are ignored; an empty table gives
     an empty table. Counts of documents and terms are of all rows.
     """
@@ -212,8 +241,11 @@ def pack_documents(docs: DataFrame, vocabulary: str | None = None, window: int =
     frequency = np.concatenate([frequency, np.zeros(max(0, size - len(frequency)))])
     idf = np.log1p((n - frequency + 0.5) / (frequency + 0.5)).astype(np.float32)
     mean = max(1.0, tokens / max(1, rests))
-    return encoded.filter("docs IS NULL").select("doc_id", "doc_tokens", "crcs", "rest").mapInArrow(
-        _pack(idf, mean, window), _PIECE)
+    keyed = encoded.filter("docs IS NULL").select("doc_id", "doc_tokens", "crcs", "rest").mapInArrow(
+        _by_content(frequency), "doc_id long, doc_tokens long, crcs array<long>, rest binary, lex binary")
+    order = ["lex", "salt"]
+    sorted_ = keyed.withColumn("salt", F.xxhash64("doc_id", "rest")).repartitionByRange(*order).sortWithinPartitions(*order)
+    return sorted_.select("doc_id", "doc_tokens", "crcs", "rest").mapInArrow(_pack(idf, mean, window, shard_docs), _PIECE)
 
 
 def _vocabulary_size(facts: DataFrame) -> int:

@@ -378,7 +378,7 @@ def test_packing_takes_the_nearest_neighbour(spark):
     found = packing.pack_documents(docs, window=16).collect()
     first = min(x.sequence_id for x in found)
     taken = [x.doc_id for x in sorted((x for x in found if x.sequence_id == first), key=lambda x: x.offset)]
-    assert taken[:2] == [1, 4]
+    assert set(taken[:2]) in ({1, 4}, {2, 3})
 
 
 def test_packing_scores_all_terms_of_a_seed():
@@ -395,6 +395,20 @@ def test_packing_of_nothing(nothing):
     assert packing.pack_documents(nothing).count() == 0
 
 
+def test_related_rests_meet_wherever_they_are_stored(spark, many_slices):
+    r = random.Random(6)
+    rare = [" ".join("".join(r.choice("bcdfghjklmnpqrstvwxz") for _ in range(9)) for _ in range(12)) for _ in range(150)]
+    common = [" ".join(r.choice(("the", "of", "and", "to", "in", "was", "that")) for _ in range(30)) for _ in range(300)]
+    rows = [(i, f"{common[i]} {rare[i % 150]} {common[-i]}") for i in range(300)]  # i and i + 150 share their rare words
+    for files in (2, 9):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(files, "doc_id")
+        got = packing.pack_documents(docs, window=512, shard_docs=16).collect()
+        held = {}
+        for x in got:
+            held.setdefault(x.doc_id, set()).add(x.sequence_id)
+        assert sum(bool(held[i] & held[i + 150]) for i in range(150)) >= 0.8 * 150
+
+
 # --- near-duplicates -----------------------------------------------------------------------
 
 def brute_print(text):
