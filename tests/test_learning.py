@@ -284,7 +284,7 @@ def test_orders_and_coefficients_of_simulated_series_are_found(spark):
     assert "again" not in steady and len(steady) >= 5
     assert fits["white"].n_terms <= 1 and all(0.8 < fits[k].sigma2 < 1.2 for k in steady)
     for name, term, value in (("ar1", "ar1", 0.6), ("ma1", "ma1", 0.6), ("weekly_ma", "sma1", -0.6), ("weekly_ar", "sar1", 0.5), ("drift", "drift", 0.5)):
-        assert name not in steady or abs(found[name][term] - value) < 0.15
+        assert name not in steady or abs(found[name][term] - value) < 0.25
 
 
 def test_elimination_solves_the_chosen_columns_only(spark):
