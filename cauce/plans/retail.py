@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from cauce.operators import quality
 from cauce.operators.aggregates import decimal_mean
 from cauce.operators.joins import count_orphans, lookup_label
+from cauce.sources.publish import Run
 from cauce.sources.tables import load_idempotent
 
 # Labels for products without a known category or brand.
@@ -211,28 +212,32 @@ class LayerFailure(RuntimeError):
 
 @dataclass(frozen=True)
 class LayerRun:
-    """What a full run leaves behind: mart paths and the check report."""
+    """What a full run leaves behind: mart paths, the check report, and the steps taken over from an earlier try."""
 
     marts: dict[str, str]
     report: DataFrame
+    skipped: tuple[str, ...] = ()
 
 
 def run_layers(spark: SparkSession, raw: Mapping[str, DataFrame] | Callable[[], Mapping[str, DataFrame]],
-               target: str, strict: bool = True) -> LayerRun:
-    """Raw to staging to marts to checks, in order; the first failing step stops the run."""
+               target: str, strict: bool = True, name: str | None = None) -> LayerRun:
+    """Raw to staging to marts to checks, in order; the first failing step stops the run.
+
+    Marts are written beside the published ones and published together, by ``sources.publish``, once
+    their checks have passed; until then readers keep the old ones. A rerun under the same ``name``
+    goes on at the first unfinished step, also after lost jobs. With failed checks nothing is
+    published and the steps are forgotten, since other raw data is needed; with ``strict`` off the
+    marts are published nevertheless.
+    """
     tables = raw() if callable(raw) else raw
-    marts = build_marts(stage_all(tables))
-    paths = {}
-    for name, mart in marts.items():
-        paths[name] = f"{target.rstrip('/')}/{name}"
-        load_idempotent(mart, paths[name])
-    written = {name: spark.read.parquet(path) for name, path in paths.items()}
-    report_path = f"{target.rstrip('/')}/dq_report"
-    load_idempotent(quality.dq_report(mart_checks(written)), report_path)
-    report = spark.read.parquet(report_path)
+    run = Run(spark, target, name)
+    written = {mart: run.step(mart, lambda df=df: df) for mart, df in build_marts(stage_all(tables)).items()}
+    report = run.step("dq_report", lambda: quality.dq_report(mart_checks(written)))
     if strict and not report.where(~F.col("passed")).isEmpty():
-        raise LayerFailure(f"mart checks failed, see {report_path}")
-    return LayerRun(paths, report)
+        run.forget()
+        raise LayerFailure(f"mart checks failed, see {run.tables['dq_report']}")
+    paths = run.publish()
+    return LayerRun({mart: paths[mart] for mart in written}, report, tuple(run.skipped))
 
 
 def land_raw(spark: SparkSession, sources: Mapping[str, DataFrame], target: str,

@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from cauce.sources.publish import replace_folder
+
 
 def _filesystem(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -26,8 +28,11 @@ def extract_full(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_idempotent(df: DataFrame, path: str) -> None:
-    """Replace the whole target; loading the same batch twice leaves one copy."""
-    df.write.mode("overwrite").parquet(path)
+    """Replace the whole target; loading the same batch twice leaves one copy, and a failed load the old one.
+
+    The batch may be read from the target itself.
+    """
+    replace_folder(df, path)
 
 
 def append_load(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

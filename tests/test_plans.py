@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from cauce.operators import quality
 from cauce.plans import customers, flights, retail, trips
+from cauce.sources import publish
 from cauce.sources.scratch import materialise
+from cauce.sources.tables import load_idempotent
 
 GOOD = dict(vendor_id="1.0", pickup_datetime="2022-05-05 10:00:00", dropoff_datetime="2022-05-05 10:10:00",
             passenger_count=1, trip_distance=2.0, rate_code="1.0", payment_type="1.0", fare_amount=10.0, extra=0.0,
@@ -186,6 +188,54 @@ def test_run_over_written_marts_again(spark, tmp_path):
     assert spark.read.parquet(run.marts["fct_ventas"]).count() == 1
 
 
+def test_a_failed_run_leaves_the_old_marts_published(spark, tmp_path):
+    first = retail.run_layers(spark, retail_raw(spark), str(tmp_path))
+    with pytest.raises(retail.LayerFailure):
+        retail.run_layers(spark, retail_raw(spark, net="20.00"), str(tmp_path))
+    held = publish.published(spark, str(tmp_path))
+    assert {k: held[k] for k in first.marts} == first.marts
+    assert float(publish.read_published(spark, str(tmp_path), "fct_ventas").first().monto_bruto) == 30.03
+
+
+def test_a_rerun_goes_on_at_the_first_unfinished_step(spark, tmp_path, monkeypatch):
+    def lost(_):
+        raise RuntimeError("executors lost")
+    with monkeypatch.context() as broken:
+        broken.setattr(retail, "mart_checks", lost)
+        with pytest.raises(RuntimeError, match="lost"):
+            retail.run_layers(spark, retail_raw(spark), str(tmp_path), name="nightly")
+    assert publish.published(spark, str(tmp_path)) == {}
+    run = retail.run_layers(spark, retail_raw(spark), str(tmp_path), name="nightly")
+    assert set(run.skipped) == set(run.marts) and spark.read.parquet(run.marts["fct_ventas"]).count() == 1
+    again = retail.run_layers(spark, retail_raw(spark), str(tmp_path), name="nightly")
+    assert again.skipped == () and again.marts != run.marts
+
+
+def test_publications_switch_together_and_old_versions_are_removed(spark, tmp_path):
+    root = str(tmp_path)
+    for k in range(5):
+        run = publish.Run(spark, root)
+        for name in ("a", "b"):
+            run.step(name, lambda: spark.range(k + 1))
+        before = publish.published(spark, root)
+        run.publish()
+        assert set(publish.published(spark, root)) == {"a", "b"} and publish.published(spark, root) != before
+    half = publish.Run(spark, root, "open")
+    half.step("a", lambda: spark.range(9))
+    assert publish.vacuum(spark, root, ["a", "b"]) == 4
+    assert publish.read_published(spark, root, "b").count() == 5 and half.step("a", lambda: 1 / 0).count() == 9
+
+
+def test_a_failed_load_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    load_idempotent(spark.range(3), path)
+    with pytest.raises(Exception):
+        load_idempotent(spark.range(5).select(F.raise_error(F.lit("no")).cast("long").alias("id")), path)
+    assert spark.read.parquet(path).count() == 3
+    load_idempotent(spark.read.parquet(path).where("id > 0"), path)
+    assert spark.read.parquet(path).count() == 2
+
+
 def test_unlisted_categories_stay_in_the_pivot(spark):
     from cauce.plans.customers import count_pivot
     df = spark.createDataFrame([(1, "X", "Food"), (2, "X", "Travel")], "id_cliente int, ciudad string, categoria string")
