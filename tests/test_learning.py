@@ -5,8 +5,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from cauce.operators import arima, evaluate, explain, features, models, series
+from cauce.operators import arima, evaluate, explain, features, model_store, models, series
 from cauce.operators.series import Origin
+from cauce.sources import publish
 
 
 @pytest.fixture(scope="module")
@@ -334,3 +335,23 @@ def test_trees_take_categories_of_any_number(spark):
                                  "x double, fare double, c string, split_set string")
     trained = models.fit_gbt_tuned(view, models.Inputs("fare", ("x",), ("c",)), trials=({"maxDepth": 2},), trees=2)
     assert len(trained.trials) == 1
+
+
+def test_models_are_published_and_read_in_another_session(spark, tmp_path):
+    root = str(tmp_path)
+    view = spark.createDataFrame([(float(i % 7), float(3 * (i % 7) + 1), i % 2, f"c{i % 3}", "TRAIN" if i % 3 else "EVAL") for i in range(300)],
+                                 "x double, fare double, y int, c string, split_set string")
+    fitted = {"line": models.fit_linear(view, models.Inputs("fare", ("x",), ("c",))),
+              "trees": models.fit_gbt_tuned(view, models.Inputs("fare", ("x",), ("c",)), trials=({"maxDepth": 2}, {"maxDepth": 3}), trees=2),
+              "classes": models.fit_logistic(view, models.Inputs("y", ("x",), ("c",)))}
+    other = spark.newSession()
+    for name, trained in fitted.items():
+        model_store.publish_model(spark, root, name, trained)
+        again = model_store.load_model(other, root, name)
+        assert again.inputs == trained.inputs and again.history == trained.history and again.trials == trained.trials
+        assert models.score(view, again).collect() == models.score(view, trained).collect()
+    before = publish.published(spark, root)["line"]
+    model_store.publish_model(spark, root, "line", models.fit_linear(view, models.Inputs("fare", ("x",), ())))
+    assert publish.published(spark, root)["line"] != before and model_store.load_model(spark, root, "line").inputs.categorical == ()
+    with pytest.raises(KeyError):
+        model_store.load_model(spark, root, "none")
