@@ -149,10 +149,13 @@ def _cut(kept: list[str], text: str, out: str, window: int):
 def _spans(keyed: DataFrame, window: int) -> DataFrame:
     """``did, th, spans``: first and last start of the windows to cut from each document."""
     anchors = materialise(keyed.mapInArrow(_anchors(window), "did long, th long, h long, phrase binary"), "anchors")
-    recurring = anchors.groupBy("h").agg(F.min("did").alias("lo"), F.max("did").alias("hi")).filter("lo < hi").select("h")
+    # facts of hot keys are written, so that the joins with them are between two plain shuffles, which can be split
+    recurring = materialise(anchors.groupBy("h").agg(F.min("did").alias("lo"), F.max("did").alias("hi")).filter("lo < hi").select("h"), "recurring")
+    # sets: a row that comes again, with equal key and text, adds nothing
     phrases = materialise(
-        anchors.join(recurring, "h").groupBy("did", "th").agg(F.collect_list("phrase").alias("phrases")), "phrases")
+        anchors.join(recurring, "h").groupBy("did", "th").agg(F.collect_set("phrase").alias("phrases")), "phrases")
     release(anchors)
+    release(recurring)
     blocks = materialise(keyed.join(phrases, ["did", "th"]).mapInArrow(
         _candidate_blocks(window),
         "did long, th long, start long, n long, anchor long, block long, windows array<long>"), "blocks")
@@ -163,19 +166,19 @@ def _spans(keyed: DataFrame, window: int) -> DataFrame:
     whole = places.join(owners, ["anchor", "block"]).filter("did > owner").select(
         "did", "th", F.col("start").alias("s"), (F.col("start") + F.col("n") - 1).alias("e"))
     # from the smallest, those that a differing block with the same anchor has in a smaller document
-    varied = owners.groupBy("anchor").agg(F.min("owner").alias("lo"), F.max("owner").alias("hi")).filter("lo < hi").select("anchor")
+    varied = materialise(owners.groupBy("anchor").agg(
+        F.min("owner").alias("lo"), F.max("owner").alias("hi")).filter("lo < hi").select("anchor"), "varied")
     first = owners.join(varied, "anchor").select("anchor", "block", F.col("owner").alias("did"))
     single = materialise(blocks.join(first, ["did", "anchor", "block"]).select(
         "did", "th", "start", "anchor", "windows"), "single")
     windows = single.select("did", "th", "start", "anchor", F.posexplode("windows").alias("k", "w"))
-    # written, so that the join below is between two plain shuffles, whose hot windows can be split
     least = materialise(windows.groupBy("anchor", "w").agg(
         F.min("did").alias("lo"), F.max("did").alias("hi")).filter("lo < hi"), "least")
     partly = windows.join(least, ["anchor", "w"]).filter("did > lo").select(
         "did", "th", (F.col("start") + F.col("k")).alias("s"), (F.col("start") + F.col("k")).alias("e"))
     spans = materialise(whole.unionByName(partly).groupBy("did", "th").agg(
-        F.collect_list(F.struct("s", "e")).alias("spans")), "spans")
-    for done in (blocks, owners, single, least):
+        F.collect_set(F.struct("s", "e")).alias("spans")), "spans")
+    for done in (blocks, owners, varied, single, least):
         release(done)
     return spans
 

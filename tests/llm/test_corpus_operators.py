@@ -542,6 +542,15 @@ def test_repeats_of_messy_and_empty_tables(messy, nothing):
     assert substrings.cut_repeats(nothing).count() == 0
 
 
+def test_substrings_of_very_many_equal_rows_stay_linear(spark):
+    r = random.Random(12)
+    passage = " ".join(f"p{r.randint(0, 999)}" for _ in range(120))
+    rows = [(7, f"own start {passage} own end")] * 1500 + [(3, f"first {passage}"), (9, f"last {passage} of all")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = substrings.cut_repeats(docs).select("doc_id", "cut.n_removed", "cut.text").groupBy("doc_id", "n_removed", "text").count().collect()
+    assert sorted(map(tuple, got)) == [(3, 0, f"first {passage}", 1), (7, 120, "own start own end", 1500), (9, 120, "last of all", 1)]
+
+
 # --- top-k ---------------------------------------------------------------------------------
 
 def test_top_k_equals_brute_force(spark, monkeypatch):
