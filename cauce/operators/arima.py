@@ -67,7 +67,9 @@ def swept(matrix: Column, pivots: Column) -> Column:
         return F.get(F.transform(scaled, lambda r: F.transform(a, lambda row, i: F.when(i == k, r).otherwise(
             F.zip_with(row, r, lambda x, y: x - F.get(row, k) * y)))), F.lit(0))
 
-    return F.aggregate(pivots, matrix, sweep)
+    # cells of a type that may be NULL, or a NULL one would be read back as zero
+    start = F.transform(matrix, lambda row: F.transform(row, lambda x: F.when(x.isNotNull(), x)))
+    return F.aggregate(pivots, start, sweep)
 
 
 def spread_out(df: DataFrame, group: list[str]) -> DataFrame:
