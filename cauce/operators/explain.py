@@ -1,8 +1,4 @@
-"""What drives a model: gains, weights, and occlusion attributions.
-
-An attribution is the change in score when one input is replaced by its TRAIN baseline (mean or
-most frequent category). It ranks inputs like Shapley values do but is not the same number.
-"""
+"""What drives a model: gains, weights, and the additive attributions of its scores."""
 
 from __future__ import annotations
 
@@ -11,32 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cauce.operators.aggregates import share_of_total
-from cauce.operators.models import Trained, positive_probability
-from cauce.sources.scratch import materialise
-
-
-def slot_names(trained: Trained, df: DataFrame) -> list[str]:
-    """Name of each vector slot, read from the metadata the assembler leaves on the column."""
-    numeric = {c: F.col(c).cast("double") for c in trained.inputs.numeric}
-    prepared = trained.prepare.transform(df.limit(0).withColumns(numeric))
-    attributes = prepared.schema["features"].metadata["ml_attr"]["attrs"]
-    slots = sorted((a["idx"], a["name"]) for group in attributes.values() for a in group)
-    return [name for _, name in slots]
-
-
-def _source(slot: str, trained: Trained) -> str:
-    for prefix in ("_num_", "_idx_", "_hot_"):
-        if slot.startswith(prefix):
-            rest = slot[len(prefix):]
-            return max((c for c in trained.inputs.columns if rest == c or rest.startswith(c + "_")), key=len)
-    return slot
+from cauce.operators.models import Trained, slot_names, source_of
+from cauce.operators.shapley import attributions
 
 
 def feature_importance(spark: SparkSession, trained: Trained, df: DataFrame, top: int = 15) -> DataFrame:
     """Gain per input column with its share, largest first."""
     gains: dict[str, float] = {}
     for slot, gain in zip(slot_names(trained, df), trained.model.featureImportances.toArray()):
-        name = _source(slot, trained)
+        name = source_of(slot, trained)
         gains[name] = gains.get(name, 0.0) + float(gain)
     table = spark.createDataFrame(list(gains.items()), "feature string, importancia double")
     shares = share_of_total(table, "importancia", "porcentaje_contribucion")
@@ -53,49 +32,19 @@ def model_weights(spark: SparkSession, trained: Trained, df: DataFrame) -> DataF
         "peso", F.round("peso", 4)).orderBy(F.desc(F.abs("peso")), "variable")
 
 
-def baseline(train: DataFrame, trained: Trained) -> dict:
-    """Mean of each number and most frequent value of each category; one row to the driver."""
-    inputs = trained.inputs
-    row = train.agg(*[F.avg(c).alias(c) for c in inputs.numeric],
-                    *[F.mode(c, deterministic=True).alias(c) for c in inputs.categorical]).first()
-    return row.asDict()
-
-
-def occlusions(rows: DataFrame, trained: Trained, base: dict, key: Sequence[str],
-               classifier: bool = False) -> DataFrame:
-    """Attribution of every input for every row: score minus score with that input at its baseline."""
-    inputs = trained.inputs
-    value = positive_probability() if classifier else F.col("prediction")
-    numeric = {c: F.col(c).cast("double") for c in inputs.numeric}
-    plain = rows.select(*key, *[c for c in inputs.columns if c not in key]).withColumns(numeric)
-    scored = trained.transform(plain).select(*plain.columns, value.alias("_score"))
-    varied = scored.withColumn("feature", F.explode(F.array(*[F.lit(c) for c in inputs.columns])))
-    kept = varied.withColumns({f"_keep_{c}": F.col(c) for c in key if c in inputs.columns})
-    swapped = kept.withColumns({
-        c: F.when(F.col("feature") == c, F.lit(base[c])).otherwise(F.col(c)) for c in inputs.columns})
-    again = trained.transform(swapped)
-    keys = [F.col(f"_keep_{c}").alias(c) if c in inputs.columns else F.col(c) for c in key]
-    return again.select(*keys, "feature", F.col("_score").alias("score"),
-                        (F.col("_score") - value).alias("attribution"))
-
-
-def global_explain(rows: DataFrame, trained: Trained, base: dict, model: str, classifier: bool = False,
-                   top: int = 15) -> DataFrame:
+def global_explain(rows: DataFrame, trained: Trained, train: DataFrame, model: str, top: int = 15) -> DataFrame:
     """Mean absolute attribution per input over all the rows."""
-    each = occlusions(rows, trained, base, [], classifier)
-    means = each.groupBy(F.col("feature").alias("variable")).agg(
-        F.round(F.avg(F.abs("attribution")), 4).alias("importancia"))
-    return means.orderBy(F.desc("importancia"), "variable").limit(top).select(
-        F.lit(model).alias("modelo"), "variable", "importancia")
-
-
-def explain_rows(rows: DataFrame, trained: Trained, base: dict, key: Sequence[str], k: int = 4,
-                 classifier: bool = False) -> DataFrame:
-    """The k strongest attributions of each row, also of rows that share ``key``; a row has one entry per input."""
-    entry = F.struct(F.abs("attribution").alias("size"), "feature", "attribution")
-    marked = materialise(rows.withColumn("_row", F.monotonically_increasing_id()), "explained")
-    each = occlusions(marked, trained, base, ["_row", *key], classifier)
-    ranked = each.groupBy("_row", *key).agg(F.first("score").alias("score"),
-                                            F.sort_array(F.collect_list(entry), asc=False).alias("_all"))
-    return ranked.select(*key, "score", F.posexplode(F.slice("_all", 1, k)).alias("_pos", "_e")).select(
-        *key, "score", (F.col("_pos") + 1).alias("rank"), "_e.feature", "_e.attribution")
+    each = attributions(rows, trained, train)
+    means = each.agg(F.array(*[F.struct(F.lit(c).alias("variable"), F.round(F.avg(F.abs(F.col("attributions")[i])), 4).alias("importancia"))
+                               for i, c in enumerate(trained.inputs.columns)]).alias("_all"))
+    return means.select(F.lit(model).alias("modelo"), F.explode("_all").alias("_e")).select("modelo", "_e.*").orderBy(
+        F.desc("importancia"), "variable").limit(top)
+
+
+def explain_rows(rows: DataFrame, trained: Trained, train: DataFrame, key: Sequence[str], k: int = 4) -> DataFrame:
+    """The k strongest attributions of each row, also of rows that share ``key``, with the score and the base they start from."""
+    entries = F.array(*[F.struct(F.abs(F.col("attributions")[i]).alias("size"), F.lit(c).alias("feature"), F.col("attributions")[i].alias("attribution"))
+                        for i, c in enumerate(trained.inputs.columns)])
+    strongest = F.slice(F.sort_array(entries, asc=False), 1, k)
+    return attributions(rows, trained, train, key).select(*key, "score", "base", F.posexplode(strongest).alias("_pos", "_e")).select(
+        *key, "score", "base", (F.col("_pos") + 1).alias("rank"), "_e.feature", "_e.attribution")

@@ -73,6 +73,10 @@ def release(table: DataFrame) -> None:
     path = getattr(table, "_scratch_path", None)
     if path is None:
         return
-    jvm = table.sparkSession._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(table.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+    remove(table.sparkSession, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that ``new_path`` named."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)

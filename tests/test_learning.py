@@ -1,3 +1,5 @@
+import itertools
+import math
 from datetime import date, timedelta
 
 import numpy as np
@@ -5,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from cauce.operators import arima, evaluate, explain, features, model_store, models, series
+from cauce.operators import arima, evaluate, explain, features, model_store, models, series, shapley
 from cauce.operators.series import Origin
 from cauce.sources import publish
 
@@ -47,10 +49,10 @@ def test_tuned_trees_choose_on_eval_and_rank_inputs(spark, view):
     assert [r.trial_id for r in table] == [2, 1] and table[0].is_optimal and not table[1].is_optimal
     ranked = explain.feature_importance(spark, trained, view).collect()
     assert ranked[0].feature == "x" and abs(sum(r.porcentaje_contribucion for r in ranked) - 100) < 0.1
-    base = explain.baseline(view.where("split_set = 'TRAIN'"), trained)
-    overall = explain.global_explain(view.where("split_set = 'EVAL'"), trained, base, "m").collect()
+    train = view.where("split_set = 'TRAIN'")
+    overall = explain.global_explain(view.where("split_set = 'EVAL'"), trained, train, "m").collect()
     assert overall[0].variable == "x"
-    rows = explain.explain_rows(view.where("split_set = 'TEST'").limit(5), trained, base, ["row"], 2).collect()
+    rows = explain.explain_rows(view.where("split_set = 'TEST'").limit(5), trained, train, ["row"], 2).collect()
     assert len(rows) == 10 and {r["rank"] for r in rows} == {1, 2}
 
 
@@ -325,8 +327,7 @@ def test_explanations_of_rows_that_share_a_key_stay_apart(spark):
     view = spark.createDataFrame([(i % 2, float(i), float(2 * i), "a", "TRAIN" if i % 3 else "EVAL") for i in range(60)],
                                  "key int, x double, fare double, c string, split_set string")
     trained = models.fit_linear(view, models.Inputs("fare", ("x",), ("c",)))
-    base = explain.baseline(view, trained)
-    got = explain.explain_rows(view.limit(14), trained, base, ["key"], 2).collect()
+    got = explain.explain_rows(view.limit(14), trained, view, ["key"], 2).collect()
     assert len(got) == 28
 
 
@@ -355,3 +356,78 @@ def test_models_are_published_and_read_in_another_session(spark, tmp_path):
     assert publish.published(spark, root)["line"] != before and model_store.load_model(spark, root, "line").inputs.categorical == ()
     with pytest.raises(KeyError):
         model_store.load_model(spark, root, "none")
+
+
+def by_subsets(spark, trained, path, x):
+    """Shapley values of one row by all coalitions: inputs outside of one follow the counts of both branches."""
+    trained.model.write().save(path)
+    nodes = {(r.treeID, r.id): r for r in spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").collect()}
+    forest = type(trained.model).__name__.startswith("RandomForest")
+
+    def worth(tree, at, inside):
+        node = nodes[tree, at]
+        if node.leftChild < 0:
+            return node.impurityStats[1] / sum(node.impurityStats) if forest else node.prediction
+        ways = [worth(tree, c, inside) for c in (node.leftChild, node.rightChild)]
+        slot, split, categories = node.split
+        if slot in inside:
+            return ways[0] if (x[slot] in split if categories >= 0 else x[slot] <= split[0]) else ways[1]
+        n = [nodes[tree, c].rawCount for c in (node.leftChild, node.rightChild)]
+        return (n[0] * ways[0] + n[1] * ways[1]) / sum(n)
+
+    def game(inside):
+        trees = sorted({t for t, _ in nodes})
+        weights = [1 / len(trees)] * len(trees) if forest else trained.model.treeWeights
+        return sum(w * worth(t, 0, inside) for t, w in zip(trees, weights))
+
+    d, out = len(x), []
+    for j in range(d):
+        others = [i for i in range(d) if i != j]
+        out.append(sum(math.factorial(len(s)) * math.factorial(d - len(s) - 1) / math.factorial(d) * (game({*s, j}) - game(set(s)))
+                       for k in range(d) for s in itertools.combinations(others, k)))
+    return out, game(set())
+
+
+def test_attributions_of_trees_equal_all_coalitions(spark, view, tmp_path):
+    train, rows = view.where("split_set = 'TRAIN'"), view.where("split_set = 'TEST'").orderBy("row").limit(6)
+    for name, trained in (("boosted", models.fit_gbt_tuned(view, PRICE, ({"maxDepth": 4, "stepSize": 0.3},), trees=4)),
+                          ("forest", models.fit_forest_tuned(view, DEAR, ({"maxDepth": 5, "numTrees": 4, "subsamplingRate": 0.8},)))):
+        got = {r.row: r for r in shapley.attributions(rows, trained, train, ["row"]).collect()}
+        slots = {r.row: r.features.toArray() for r in trained.prepare.transform(rows).collect()}
+        assert len(got) == 6
+        for i, (row, r) in enumerate(sorted(got.items())):
+            want, base = by_subsets(spark, trained, f"{tmp_path}/{name}{i}", slots[row])
+            assert np.allclose(r.attributions, want, atol=1e-12) and abs(r.base - base) < 1e-12
+            assert abs(r.base + sum(r.attributions) - r.score) < 1e-12
+
+
+def test_attributions_of_linear_models_add_up(spark, view):
+    train, rows = view.where("split_set = 'TRAIN'"), view.where("split_set = 'TEST'")
+    line = models.fit_linear(view, PRICE, l2=0.001)
+    got = shapley.attributions(rows, line, train, ["row", "x"]).collect()
+    assert max(abs(r.base + sum(r.attributions) - r.score) for r in got) < 1e-9
+    mean = train.agg(F.avg("x")).first()[0]
+    weight = {r.variable: r.peso for r in explain.model_weights(spark, line, view).collect()}["x"]
+    assert all(abs(r.attributions[0] - weight * (r.x - mean)) < 1e-3 for r in got)
+    odds = shapley.attributions(rows, models.fit_logistic(view, DEAR), train).collect()
+    assert max(abs(r.base + sum(r.attributions) - r.score) for r in odds) < 1e-9
+
+
+def test_attributions_of_missing_and_repeated_rows_and_of_none(spark, view):
+    trained = models.fit_gbt_tuned(view, PRICE, ({"maxDepth": 3, "stepSize": 0.3},), trees=2)
+    rows = spark.createDataFrame([(1, None, None, None), (1, None, None, None), (2, 3.0, 1.0, "new")], "score int, x double, noise double, place string")
+    got = shapley.attributions(rows.withColumnRenamed("score", "key"), trained, view, ["key"]).orderBy("key").collect()
+    assert len(got) == 3 and got[0] == got[1] and all(abs(r.base + sum(r.attributions) - r.score) < 1e-12 for r in got)
+    assert shapley.attributions(rows.limit(0), trained, view).count() == 0
+
+
+def test_many_conditions_on_a_path_agree_with_few_rows_and_many():
+    rng = np.random.default_rng(2)
+    d = 9
+    leaf = shapley.Leaves(np.array([2.0]), np.array([0, d]), np.arange(d, dtype=np.int32), np.full(d, -np.inf), rng.uniform(0, 1, d),
+                          np.full(d, -1, np.int32), rng.uniform(0.05, 1, d), ())
+    x = rng.uniform(0, 1, (d, 2000))
+    every = shapley.shapley_values(x, leaf)
+    assert np.allclose(every[:, :50], shapley.shapley_values(x[:, :50], leaf), atol=1e-13)
+    game = 2.0 * np.all(x <= leaf.high[:, None], axis=0)
+    assert np.allclose(every.sum(axis=0) + leaf.base(), game, atol=1e-12)
