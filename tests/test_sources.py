@@ -193,3 +193,50 @@ def test_landed_dates_in_several_forms(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "id int, day string")
     got = [str(r.day) for r in files.land_csv(df, ["day"]).orderBy("id").collect()]
     assert got == ["2026-01-15", "2026-01-15", "2026-01-02", "2026-01-05", "2026-01-05", "None", "None"]
+
+
+def test_interleaved_key_follows_the_bits_of_the_ranks(spark):
+    df = spark.range(4096).select((F.col("id") % 64).alias("a"), F.floor(F.col("id") / 64).alias("b"))
+    key = tables.interleaved_key(df, ["a", "b"], bits=2)
+    got = {(r.a, r.b): r.k for r in df.select("a", "b", key.alias("k")).collect()}
+    for (a, b), k in got.items():
+        ranks = (k >> 1 & 1) | (k >> 3 & 1) << 1, (k & 1) | (k >> 2 & 1) << 1
+        assert abs(ranks[0] - a // 16) <= (a % 16 in (0, 15)) and abs(ranks[1] - b // 16) <= (b % 16 in (0, 15))
+    assert sorted(set(got.values())) == list(range(16))
+
+
+def test_interleaved_key_of_missing_values_ties_dates_and_no_rows(spark):
+    df = spark.createDataFrame([(None, date(2024, 1, 1)), (7, date(2024, 1, 1)), (7, None), (7, date(2024, 3, 1))], "a int, d date")
+    rows = df.select("a", "d", tables.interleaved_key(df, ["a", "d"], bits=3).alias("k")).collect()
+    assert all(0 <= r.k < 64 for r in rows) and rows[0].k >= rows[1].k and rows[2].k >= rows[3].k >= rows[1].k
+    none = df.limit(0)
+    assert none.select(tables.interleaved_key(none, ["a"], bits=3)).collect() == []
+
+
+def test_clustering_skips_row_groups_for_either_column(spark, tmp_path):
+    df = spark.range(40_000).select((F.xxhash64("id") % 500).alias("a"), (F.xxhash64("id", F.lit(1)) % 500).alias("b"),
+                                    F.when(F.col("id") % 3 > 0, 0).otherwise(1).alias("part"), "id")
+    plain, alike, folders = (str(tmp_path / n) for n in ("sorted", "alike", "folders"))
+    df.repartitionByRange(4, "a", "b").sortWithinPartitions("a", "b").write.option("parquet.block.size", 8 << 10).parquet(plain)
+    tables.write_clustered(df, alike, ["a", "b"], files=4, block_bytes=8 << 10)
+    tables.write_clustered(df, folders, ["a", "b"], by="part", files=4, block_bytes=8 << 10)
+    left = {}
+    for path in (plain, alike, folders):
+        back = spark.read.parquet(path)
+        assert back.count() == 40_000 and set(back.columns) == set(df.columns)
+        for c in ("a", "b"):
+            found = layout.row_groups(back, {c: (17, 17)}).first()
+            assert found.n_rows == 40_000 and found.rows_left >= back.where(F.col(c) == 17).count()
+            left[path, c] = found.groups_left / found.groups
+    assert left[plain, "b"] > 0.9
+    assert max(left[p, c] for p in (alike, folders) for c in ("a", "b")) < 0.35
+    both = layout.row_groups(spark.read.parquet(alike), {"a": (17, 17), "b": (17, 17)}).first()
+    assert both.groups_left / both.groups < 0.1
+    assert layout.row_groups(spark.read.parquet(alike).limit(0), {"a": (1, 1)}).first().groups == 0
+
+
+def test_a_hot_cell_spreads_over_files(spark, tmp_path, many_slices):
+    df = spark.range(20_000).select(F.when(F.col("id") % 3 > 0, 5).otherwise(F.col("id") % 400).alias("a"), (F.col("id") % 7).alias("b"), "id")
+    tables.write_clustered(df.withColumn("b", F.when(F.col("a") == 5, 1).otherwise(F.col("b"))), str(tmp_path / "h"), ["a", "b"], files=8)
+    sizes = [r["count"] for r in spark.read.parquet(str(tmp_path / "h")).groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) >= 7 and max(sizes) < 2 * 20_000 / 8

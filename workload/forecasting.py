@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date
 
 from cauce.operators import arima, series
+from cauce.operators.aggregates import union_aligned
 from cauce.operators.series import Origin
 from cauce.plans import layout
 from cauce.sources import tables
@@ -312,6 +313,22 @@ def partitioned_trips(spark, sf):
     return spark.read.parquet(once(spark, sf, "trips-monthly", write))
 
 
+def clustered_trips(spark, sf, alike: bool = True):
+    """The same trips clustered by both zones alike, or sorted by one after the other; small row groups, as the tables are small."""
+    name = "trips-interleaved" if alike else "trips-sorted"
+
+    def write():
+        path = new_path(spark, name)
+        if alike:
+            tables.write_clustered(plain_trips(spark, sf), path, CLUSTER, block_bytes=8 << 10)
+        else:
+            plain_trips(spark, sf).repartitionByRange(*CLUSTER).sortWithinPartitions(*CLUSTER).write.option(
+                "parquet.block.size", 8 << 10).parquet(path)
+        return path
+    return spark.read.parquet(once(spark, sf, name, write))
+
+
+CLUSTER = ("pickup_location_id", "dropoff_location_id")
 ZONES = (132, 138, 237, 238, 239, 161, 142, 141, 170, 114)
 MARCH = (date(1998, 3, 1), date(1998, 3, 31))
 SUMMER = (date(1998, 6, 1), date(1998, 8, 31))
@@ -435,3 +452,32 @@ def n06f(spark, sf):
     WHERE pickup_date = DATE '{JULY_DAY}'""")
 def n07(spark, sf):
     return layout.day_revenue(partitioned_trips(spark, sf), JULY_DAY)
+
+
+@query("n03_zone_arrivals", f"""WITH {data.TRIPS_SQL} SELECT date_trunc('month', pickup_date)::DATE AS mes, count(*) AS viajes,
+    {rnd('sum(fare_amount)', 2)} AS revenue FROM trips WHERE dropoff_location_id = {BUSY_ZONE} GROUP BY 1""")
+def n03a(spark, sf):
+    """A filter on the second cluster column alone."""
+    return layout.zone_arrivals(clustered_trips(spark, sf), BUSY_ZONE)
+
+
+@query("n06_cluster_pruning")
+def n06c(spark, sf):
+    """Row groups that statistics leave for a filter on either cluster column alone, sorted against interleaved."""
+    return union_aligned([
+        layout.row_groups(clustered_trips(spark, sf, alike), {c: (BUSY_ZONE, BUSY_ZONE)}).select(
+            F.lit(c).alias("columna"), F.lit("interleaved" if alike else "sorted").alias("variante"), "*",
+            F.round(100 * (1 - F.col("groups_left") / F.col("groups")), 2).alias("saltados_pct"))
+        for c in CLUSTER for alike in (True, False)])
+
+
+@query("n06_cluster_facts", f"""WITH {data.TRIPS_SQL}, n AS (SELECT count(*) AS n FROM trips)
+    SELECT unnest(['pickup_location_id', 'dropoff_location_id']) AS columna, n AS n_rows, true AS most_are_skipped, true AS none_is_lost FROM n""")
+def n06cf(spark, sf):
+    """Interleaved, either column alone skips over half of the row groups; all rows of the zone are in those left."""
+    found = n06c(spark, sf).where("variante = 'interleaved'")
+    trips = plain_trips(spark, sf).agg(*[F.count_if(F.col(c) == BUSY_ZONE).alias(c) for c in CLUSTER])
+    held = trips.select(F.explode(F.array(*[F.struct(F.lit(c).alias("columna"), F.col(c).alias("held")) for c in CLUSTER])).alias("_h")).select("_h.*")
+    return found.join(held, "columna").select(
+        "columna", "n_rows", (2 * F.col("groups_left") < F.col("groups")).alias("most_are_skipped"),
+        (F.col("held") <= F.col("rows_left")).alias("none_is_lost"))
