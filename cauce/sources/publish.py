@@ -81,6 +81,11 @@ def published(spark: SparkSession, root: str) -> dict[str, str]:
     return _pointer(spark, root)["tables"]
 
 
+def publications(spark: SparkSession, root: str) -> int:
+    """How often something was published under ``root``."""
+    return _pointer(spark, root)["version"]
+
+
 def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The published version of a table; a later publication does not change this DataFrame."""
     return spark.read.parquet(published(spark, root)[name])

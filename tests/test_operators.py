@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from datetime import date, datetime
 
@@ -9,8 +10,10 @@ from pyspark.sql import functions as F
 
 from cauce.operators import aggregates as agg, dims, joins, measures, quality, rows
 from cauce.operators.history import merge_history, versions_per_key
+from cauce.operators.late_history import LateHistory
 from cauce.operators.order import number_rows, rank_descending, running_total
 from cauce.operators.quantiles import exact_quantiles
+from cauce.sources.publish import published
 from cauce.sources.scratch import materialise
 
 
@@ -267,3 +270,60 @@ def test_sketched_percentiles_are_close_to_the_exact_ones(spark):
     got = df.agg(F.percentile_approx("v", [0.5, 0.9, 0.99], 10000).alias("p")).first().p
     ranks = [(frame["v"] <= value).mean() for value in got]
     assert all(abs(rank - p) < 2e-3 for rank, p in zip(ranks, (0.5, 0.9, 0.99)))
+
+
+def plain_history(rows):
+    """Versions per key from all rows at once: {(key, version): (value, from, to)}."""
+    out, by_key = {}, {}
+    for key, at, value in rows:
+        by_key.setdefault(key, {})[at] = value
+    for key, seen in by_key.items():
+        opened = [(at, v) for i, (at, v) in enumerate(sorted(seen.items())) if i == 0 or v != sorted(seen.items())[i - 1][1]]
+        for n, (at, v) in enumerate(opened, 1):
+            out[key, n] = (v, at, opened[n][0] if n < len(opened) else None)
+    return out
+
+
+def late_rows(spark, rows):
+    return spark.createDataFrame(rows, "k int, at int, color string")
+
+
+def held_history(store):
+    return {(r.k, r.version): (r.color, r.valid_from, r.valid_to) for r in store.dimension().collect()}
+
+
+def test_history_is_the_same_in_any_order_of_arrival(spark, tmp_path, many_slices):
+    rng = random.Random(5)
+    rows = [(k, at, rng.choice(["red", "blue", None])) for k in (1, 2, 3, None) for at in rng.sample(range(100), 12)]
+    rows += [(9, at, rng.choice(["red", "blue"])) for at in range(300)]  # a hot key, over several slices
+    for turn in range(2):
+        rng.shuffle(rows)
+        store = LateHistory(spark, str(tmp_path / str(turn)), "k", ["color"], "at", buckets=4)
+        for i in range(0, len(rows), 120):
+            store.apply(late_rows(spark, rows[i:i + 120]))
+        assert held_history(store) == plain_history(rows)
+        assert store.dimension().where("is_current").count() == 5
+
+
+def test_a_batch_rewrites_its_buckets_only_and_a_failed_one_nothing(spark, tmp_path):
+    root = str(tmp_path / "h")
+    store = LateHistory(spark, root, "k", ["color"], "at", buckets=16)
+    assert store.dimension() is None and store.apply(late_rows(spark, [])) == []
+    rows = [(k, 10, "red") for k in range(40)]
+    assert len(store.apply(late_rows(spark, rows))) > 8
+    before, reader = published(spark, root), store.dimension()
+    touched = store.apply(late_rows(spark, [(7, 5, "blue"), (7, 5, "blue")]))
+    after = published(spark, root)
+    assert len(touched) == 1 and {b for b in after if after[b] != before[b]} == {f"bucket-{touched[0]}"}
+    assert held_history(store) == plain_history([*rows, (7, 5, "blue")]) and reader.count() == 40
+    with pytest.raises(ValueError):
+        store.apply(late_rows(spark, [(7, None, "x")]))
+    broken = late_rows(spark, [(7, 6, "x")]).withColumn("color", F.raise_error(F.lit("broken")).cast("string"))
+    with pytest.raises(Exception, match="broken"):
+        store.apply(broken)
+    assert published(spark, root) == after
+    store.apply(late_rows(spark, [(7, 5, "blue")]))
+    store.apply(late_rows(spark, [(7, 5, "green")]))  # the later batch stands
+    assert held_history(store) == plain_history([*rows, (7, 5, "green")])
+    with pytest.raises(ValueError):
+        LateHistory(spark, root, "k", ["color"], "at", buckets=8)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from cauce.operators import dims, measures, quality
 from cauce.operators.history import current_versions, merge_history, versions_per_key
+from cauce.operators.late_history import LateHistory
 from cauce.plans import customers, flights, retail
 from cauce.sources.scratch import materialise, new_path
 from pyspark.sql import functions as F
@@ -98,6 +99,22 @@ def i06c(spark, sf):
     return customer_history(spark, sf).counts
 
 
+@query("i06_late_history", """WITH o AS (SELECT o_custkey, CAST(o_orderdate AS TIMESTAMP) AS ts, o_orderpriority, o_orderkey % 3 AS b FROM orders),
+    seen AS (SELECT * FROM o QUALIFY row_number() OVER (PARTITION BY o_custkey, ts ORDER BY b DESC, o_orderpriority DESC) = 1),
+    was AS (SELECT *, lag(o_orderpriority) OVER (PARTITION BY o_custkey ORDER BY ts) AS p FROM seen)
+    SELECT o_custkey, o_orderpriority, row_number() OVER w AS version, ts AS valid_from, lead(ts) OVER w AS valid_to,
+    lead(ts) OVER w IS NULL AS is_current FROM was WHERE p IS DISTINCT FROM o_orderpriority WINDOW w AS (PARTITION BY o_custkey ORDER BY ts)""")
+def i06l(spark, sf):
+    """The priority each customer orders with, from three batches whose orders are not in the order of their dates."""
+    def load():
+        store = LateHistory(spark, new_path(spark, "late-history"), "o_custkey", ["o_orderpriority"], "ts", buckets=8)
+        orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", F.col("o_orderdate").cast("timestamp").alias("ts"))
+        for b in range(3):
+            store.apply(orders.where(F.col("o_orderkey") % 3 == b))
+        return store
+    return once(spark, sf, "late-history", load).dimension()
+
+
 @query("i07_scd2_history_check", f"""WITH {HISTORY_SQL} SELECT c_custkey, count(*) AS versiones_historicas FROM dim
     GROUP BY 1 HAVING count(*) > 1""")
 def i07(spark, sf):
