@@ -18,6 +18,7 @@ from tests.test_queries import plain
 REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 QUERIES = [
     "a01_read_csv",
+    "a02_read_csv_sniffed",
 ]
 
 
