@@ -19,6 +19,7 @@ REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 QUERIES = [
     "a01_read_csv",
     "a02_read_csv_sniffed",
+    "a06_load_idempotent",
 ]
 
 
