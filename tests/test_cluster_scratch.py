@@ -20,6 +20,7 @@ QUERIES = [
     "a01_read_csv",
     "a02_read_csv_sniffed",
     "a06_load_idempotent",
+    "a07_load_file_map",
 ]
 
 
