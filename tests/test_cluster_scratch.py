@@ -21,6 +21,7 @@ QUERIES = [
     "a02_read_csv_sniffed",
     "a06_load_idempotent",
     "a07_load_file_map",
+    "a08_load_quality_cases",
 ]
 
 
