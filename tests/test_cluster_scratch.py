@@ -22,6 +22,7 @@ QUERIES = [
     "a06_load_idempotent",
     "a07_load_file_map",
     "a08_load_quality_cases",
+    "a09_append_load",
 ]
 
 
