@@ -23,6 +23,7 @@ QUERIES = [
     "a07_load_file_map",
     "a08_load_quality_cases",
     "a09_append_load",
+    "a10_create_empty_like",
 ]
 
 
