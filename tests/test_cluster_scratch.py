@@ -24,6 +24,7 @@ QUERIES = [
     "a08_load_quality_cases",
     "a09_append_load",
     "a10_create_empty_like",
+    "a11_write_mart",
 ]
 
 
