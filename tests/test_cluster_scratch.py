@@ -25,6 +25,7 @@ QUERIES = [
     "a09_append_load",
     "a10_create_empty_like",
     "a11_write_mart",
+    "a13_export_files",
 ]
 
 
