@@ -26,6 +26,7 @@ QUERIES = [
     "a10_create_empty_like",
     "a11_write_mart",
     "a13_export_files",
+    "a14_write_partitioned",
 ]
 
 
