@@ -27,6 +27,7 @@ QUERIES = [
     "a11_write_mart",
     "a13_export_files",
     "a14_write_partitioned",
+    "a17_partition_inventory",
 ]
 
 
