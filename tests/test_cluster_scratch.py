@@ -28,6 +28,7 @@ QUERIES = [
     "a13_export_files",
     "a14_write_partitioned",
     "a17_partition_inventory",
+    "a18_preview_facts",
 ]
 
 
