@@ -29,6 +29,7 @@ QUERIES = [
     "a14_write_partitioned",
     "a17_partition_inventory",
     "a18_preview_facts",
+    "b02_clean_trips",
 ]
 
 
