@@ -30,6 +30,7 @@ QUERIES = [
     "a17_partition_inventory",
     "a18_preview_facts",
     "b02_clean_trips",
+    "b03_rule_profile",
 ]
 
 
