@@ -31,6 +31,7 @@ QUERIES = [
     "a18_preview_facts",
     "b02_clean_trips",
     "b03_rule_profile",
+    "b04_retention",
 ]
 
 
