@@ -32,6 +32,7 @@ QUERIES = [
     "b02_clean_trips",
     "b03_rule_profile",
     "b04_retention",
+    "b05_predicates",
 ]
 
 
