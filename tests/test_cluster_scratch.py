@@ -33,6 +33,7 @@ QUERIES = [
     "b03_rule_profile",
     "b04_retention",
     "b05_predicates",
+    "b07_code_labels",
 ]
 
 
