@@ -34,6 +34,7 @@ QUERIES = [
     "b04_retention",
     "b05_predicates",
     "b07_code_labels",
+    "b08_bucketing",
 ]
 
 
