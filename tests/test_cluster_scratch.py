@@ -35,6 +35,7 @@ QUERIES = [
     "b05_predicates",
     "b07_code_labels",
     "b08_bucketing",
+    "b09_flags",
 ]
 
 
