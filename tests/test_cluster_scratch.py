@@ -36,6 +36,7 @@ QUERIES = [
     "b07_code_labels",
     "b08_bucketing",
     "b09_flags",
+    "c03_role_playing_join",
 ]
 
 
