@@ -37,6 +37,7 @@ QUERIES = [
     "b08_bucketing",
     "b09_flags",
     "c03_role_playing_join",
+    "c08_key_resolution",
 ]
 
 
