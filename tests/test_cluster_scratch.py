@@ -38,6 +38,7 @@ QUERIES = [
     "b09_flags",
     "c03_role_playing_join",
     "c08_key_resolution",
+    "c05_left_join_using",
 ]
 
 
