@@ -39,6 +39,7 @@ QUERIES = [
     "c03_role_playing_join",
     "c08_key_resolution",
     "c05_left_join_using",
+    "d01_global_metrics",
 ]
 
 
