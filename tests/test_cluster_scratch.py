@@ -40,6 +40,7 @@ QUERIES = [
     "c08_key_resolution",
     "c05_left_join_using",
     "d01_global_metrics",
+    "d01_global_percentiles",
 ]
 
 
