@@ -89,17 +89,15 @@ def _by_content(frequency: np.ndarray):
 
     Terms of one document only say nothing about neighbours and are left out.
     """
-    place = np.empty(len(frequency), ">u4")
+    place = np.empty(len(frequency), np.uint32)
     place[np.argsort(frequency, kind="stable")] = np.arange(len(frequency))
-    shared = frequency > 1
+    none = np.uint32(len(frequency))
+    place[frequency <= 1] = none
     kind = "<u2" if len(frequency) <= 65536 else "<u4"
 
     def key(rest: bytes | None) -> bytes:
-        ids = distinct(np.frombuffer(rest or b"", kind))
-        at = place[ids[shared[ids]]].astype(np.int64)
-        if len(at) > KEY_TERMS:
-            at = np.partition(at, KEY_TERMS - 1)[:KEY_TERMS]
-        return np.sort(at).astype(">u4").tobytes()
+        at = distinct(place[np.frombuffer(rest or b"", kind)])[:KEY_TERMS]
+        return at[at < none].astype(">u4").tobytes()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -110,7 +108,10 @@ def _by_content(frequency: np.ndarray):
 
 
 class _Shard:
-    """Inverted index over the rests of one shard, and what of each is left."""
+    """Inverted index over the rests of one shard, and what of each is left.
+
+    Entries of used-up rests are dropped whenever a quarter of the indexed ones is used up.
+    """
 
     def __init__(self, rows: list[tuple], idf: np.ndarray, mean: float):
         self.rows = rows
@@ -125,14 +126,24 @@ class _Shard:
         self.weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[self.member] / mean))
         self.at = np.flatnonzero(np.append(True, term[1:] != term[:-1]))
         self.term, self.at = term[self.at], np.append(self.at, len(term))
+        self.indexed = len(rows)
+
+    def drop_used(self) -> None:
+        """Keep the entries of rests that are not used up, in their order; a term may be left without any."""
+        kept = self.left[self.member] > 0
+        self.at = np.append(0, np.cumsum(kept))[self.at]
+        self.member, self.weight = self.member[kept], self.weight[kept]
 
     def ranked(self, seed: int) -> tuple[np.ndarray, np.ndarray]:
         """Unused rests by falling score for all of the seed's terms, each asked once, ties and others in order."""
+        open_ = np.flatnonzero(self.left > 0)
+        if len(open_) <= self.indexed * 3 // 4:
+            self.drop_used()
+            self.indexed = len(open_)
         place = np.searchsorted(self.term, distinct(self.ids[seed]))
         spans = [slice(a, b) for a, b in zip(self.at[place].tolist(), self.at[place + 1].tolist())]
         score = np.bincount(np.concatenate([self.member[s] for s in spans]),
                             np.concatenate([self.weight[s] for s in spans]), len(self.rows))
-        open_ = np.flatnonzero(self.left > 0)
         order = open_[np.argsort(-score[open_], kind="stable")]
         return order, score
 

@@ -33,7 +33,12 @@ LOWER_TABLE[65:91] += 32
 def distinct(values: np.ndarray) -> np.ndarray:
     """Sorted distinct values."""
     values = np.sort(values)
-    return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
+    if not len(values):
+        return values
+    first = np.empty(len(values), bool)
+    first[0] = True
+    np.not_equal(values[1:], values[:-1], out=first[1:])
+    return values[first]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
