@@ -266,7 +266,7 @@ def revenue_by_class(fact: DataFrame, classes: DataFrame) -> DataFrame:
     price = F.col("ticket_price_usd").cast("decimal(12,2)")
     return named.groupBy("cabin_class").agg(
         F.count(F.lit(1)).alias("total_boletos"),
-        F.sum(price).cast("decimal(12,2)").alias("ingreso_total_usd"),
+        F.sum(price).alias("ingreso_total_usd"),
         decimal_mean(price, "decimal(10,2)").alias("ticket_promedio_usd"),
     ).orderBy(F.desc("ingreso_total_usd"), "cabin_class")
 

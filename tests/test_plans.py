@@ -145,6 +145,13 @@ def test_second_batch_grows_the_star(spark):
     assert [(r.status, r.total_vuelos) for r in late] == [("ON_TIME", 2)]
 
 
+def test_revenue_of_a_class_may_exceed_ten_billions(spark):
+    fact = spark.createDataFrame([(1, 90_000_000.25), (1, 90_000_000.25), (2, 10.25)], "clase_key long, ticket_price_usd double").crossJoin(spark.range(200))
+    classes = spark.createDataFrame([(1, "FIRST"), (2, "ECONOMY")], "clase_key long, cabin_class string")
+    got = [(r.cabin_class, r.total_boletos, float(r.ingreso_total_usd)) for r in flights.revenue_by_class(fact, classes).collect()]
+    assert got == [("FIRST", 400, 36_000_000_100.0), ("ECONOMY", 200, 2050.0)]
+
+
 def test_flight_variant_clears_cancelled_and_zeroes_on_time(spark):
     raw = raw_flights(spark, {}, dict(record_id="2", status="CANCELLED", delay_min="5", passenger_gender=" zz "),
                       dict(record_id="3", status="DELAYED"))
