@@ -421,6 +421,77 @@ def test_attributions_of_missing_and_repeated_rows_and_of_none(spark, view):
     assert shapley.attributions(rows.limit(0), trained, view).count() == 0
 
 
+def random_tree(rng, depth, slots):
+    """A full tree over a few slots, so that paths ask for one more than once; the last slot holds categories 0 to 4."""
+    nodes, todo = {}, [(0, 0, 1000.0)]
+    while todo:
+        at, level, n = todo.pop()
+        leaf = level == depth or (level > 2 and rng.random() < 0.2)
+        slot = int(rng.integers(slots))
+        split = dict(featureIndex=slot, numCategories=5, leftCategoriesOrThreshold=[float(c) for c in range(5) if rng.random() < 0.5]) \
+            if slot == slots - 1 else dict(featureIndex=slot, numCategories=-1, leftCategoriesOrThreshold=[rng.random()])
+        nodes[at] = dict(id=at, prediction=rng.normal(), impurityStats=[], rawCount=n, leftChild=-1 if leaf else 2 * at + 1,
+                         rightChild=-1 if leaf else 2 * at + 2, split=split)
+        if not leaf:
+            part = rng.uniform(0.1, 0.9)
+            todo += [(2 * at + 1, level + 1, n * part), (2 * at + 2, level + 1, n * (1 - part))]
+    return nodes
+
+
+def flat(nodes, slots):
+    """The leaves of a tree as the flat form states them."""
+    value, start, conditions, sets, todo = [], [0], [], [], [(0, {})]
+    while todo:
+        at, met = todo.pop()
+        node = nodes[at]
+        if node["leftChild"] < 0:
+            value.append(node["prediction"])
+            for slot, (low, high, kept, share) in sorted(met.items()):
+                conditions.append((slot, low, high, -1 if kept is None else len(sets), share))
+                if kept is not None:
+                    sets.append(kept)
+            start.append(len(conditions))
+            continue
+        slot, split = node["split"]["featureIndex"], node["split"]["leftCategoriesOrThreshold"]
+        low, high, kept, share = met.get(slot, (-np.inf, np.inf, None, 1.0))
+        for child, left in ((node["leftChild"], True), (node["rightChild"], False)):
+            part = share * nodes[child]["rawCount"] / node["rawCount"]
+            if slot == slots - 1:
+                way = np.isin(np.arange(5), split) == left
+                todo.append((child, {**met, slot: (low, high, way if kept is None else kept & way, part)}))
+            else:
+                todo.append((child, {**met, slot: (low, min(high, split[0]), None, part) if left else (max(low, split[0]), high, None, part)}))
+    kinds = (np.int32, float, float, np.int32, float)
+    return shapley.Leaves(np.array(value), np.array(start), *[np.array(c, k) for c, k in zip(zip(*conditions), kinds)], tuple(sets))
+
+
+@pytest.mark.parametrize("n", [0, 3, 5000])
+def test_blocks_of_any_size_agree_with_the_flat_leaves(n):
+    rng = np.random.default_rng(5)
+    nodes = random_tree(rng, 9, 6)
+    tree, leaf = shapley.build_tree(nodes, 1.0, False), flat(nodes, 6)
+    x = rng.uniform(0, 1, (6, n))
+    x[5] = rng.integers(0, 5, n)
+    assert abs(tree.base() - leaf.base()) < 1e-12
+    assert np.allclose(shapley.tree_values(x, tree), shapley.shapley_values(x, leaf), atol=1e-12)
+
+
+@pytest.mark.parametrize("kind", ["boosted", "forest"])
+def test_the_nodes_of_the_trees_stay_off_the_driver(spark, view, monkeypatch, kind):
+    """The driver gets a row for each tree at a time, and no more of them than fit its part."""
+    trained = models.fit_gbt_tuned(view, PRICE, ({"maxDepth": 6, "stepSize": 0.3},), trees=5) if kind == "boosted" else \
+        models.fit_forest_tuned(view, DEAR, ({"maxDepth": 8, "numTrees": 5, "subsamplingRate": 0.8},))
+    train, rows = view.where("split_set = 'TRAIN'"), view.where("split_set = 'TEST'")
+    got, collect = [], type(view).collect
+    monkeypatch.setattr(type(view), "collect", lambda df: got.append(collect(df)) or got[-1])
+    monkeypatch.setattr(shapley, "PART", 1, raising=False)
+    each = shapley.attributions(rows, trained, train)
+    assert max(map(len, got)) <= trained.model.getNumTrees < trained.model.totalNumNodes
+    assert sum("packed" in r for found in got for r in found) == trained.model.getNumTrees
+    assert max(sum("packed" in r for r in found) for found in got) == 1
+    assert max(abs(r.base + sum(r.attributions) - r.score) for r in collect(each)) < 1e-12
+
+
 def test_many_conditions_on_a_path_agree_with_few_rows_and_many():
     rng = np.random.default_rng(2)
     d = 9
