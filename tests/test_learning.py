@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cauce.operators import arima, evaluate, explain, features, model_store, models, series, shapley
 from cauce.operators.series import Origin
-from cauce.sources import publish
+from cauce.sources import publish, scratch
 
 
 @pytest.fixture(scope="module")
@@ -492,6 +492,18 @@ def test_the_nodes_of_the_trees_stay_off_the_driver(spark, view, monkeypatch, ki
     assert max(abs(r.base + sum(r.attributions) - r.score) for r in collect(each)) < 1e-12
 
 
+def test_a_loaded_model_is_explained_without_saving_it_again(spark, view, tmp_path, monkeypatch):
+    trained = models.fit_gbt_tuned(view, PRICE, ({"maxDepth": 3, "stepSize": 0.3},), trees=3)
+    root = model_store.publish_model(spark, str(tmp_path), "boosted", trained)
+    loaded, rows = model_store.load_model(spark, str(tmp_path), "boosted"), view.where("split_set = 'TEST'")
+    want = [tuple(r) for r in shapley.attributions(rows, trained, view, ["row"]).orderBy("row").collect()]
+    with monkeypatch.context() as m:
+        m.setattr(type(loaded.model), "write", lambda model: pytest.fail("saved again"))
+        assert [tuple(r) for r in shapley.attributions(rows, loaded, view, ["row"]).orderBy("row").collect()] == want
+    scratch.remove(spark, root)  # as a vacuum of old versions does
+    assert [tuple(r) for r in shapley.attributions(rows, loaded, view, ["row"]).orderBy("row").collect()] == want
+
+
 def test_many_conditions_on_a_path_agree_with_few_rows_and_many():
     rng = np.random.default_rng(2)
     d = 9
